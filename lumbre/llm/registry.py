@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from lumbre.llm import mixing
+from lumbre.llm import mixing, sharding, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_shard_documents": sharding.op3_shard_documents,
+    "op10_judge_urls": url_rules.op10_judge_urls,
 }
 
 #: DuckDB SQL for the same rows; operators that SQL cannot express have none.
 ORACLE_SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op10_judge_urls": url_rules.OP10_SQL,
 }
