@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lumbre.llm import fingerprints, language_id, mixing, sharding, token_tables, url_rules
+from lumbre.llm import fingerprints, language_id, mixing, preferences, sharding, token_tables, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_shard_documents": sharding.op3_shard_documents,
     "op4_identify_language": language_id.op4_identify_language,
+    "op5_format_preferences": preferences.op5_format_preferences,
     "op6_token_tables": token_tables.op6_token_tables,
     "op8_fingerprint_documents": fingerprints.op8_fingerprint_documents,
     "op10_judge_urls": url_rules.op10_judge_urls,
@@ -16,5 +17,6 @@ QUERIES = {
 #: DuckDB SQL for the same rows; operators that SQL cannot express have none.
 ORACLE_SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op5_format_preferences": preferences.OP5_SQL,
     "op10_judge_urls": url_rules.OP10_SQL,
 }
