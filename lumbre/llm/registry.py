@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lumbre.llm import fingerprints, language_id, mixing, preferences, sharding, token_tables, url_rules
+from lumbre.llm import class_lm, fingerprints, language_id, mixing, preferences, sharding, token_tables, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_format_preferences": preferences.op5_format_preferences,
     "op6_token_tables": token_tables.op6_token_tables,
     "op8_fingerprint_documents": fingerprints.op8_fingerprint_documents,
+    "op9_score_documents": class_lm.op9_score_documents,
     "op10_judge_urls": url_rules.op10_judge_urls,
 }
 
