@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lumbre.llm import class_lm, fingerprints, language_id, mixing, preferences, sharding, token_tables, url_rules
+from lumbre.llm import class_lm, fingerprints, language_id, mixing, near_dedup, preferences, sharding, token_tables, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_identify_language": language_id.op4_identify_language,
     "op5_format_preferences": preferences.op5_format_preferences,
     "op6_token_tables": token_tables.op6_token_tables,
+    "op7_near_duplicates": near_dedup.op7_near_duplicates,
     "op8_fingerprint_documents": fingerprints.op8_fingerprint_documents,
     "op9_score_documents": class_lm.op9_score_documents,
     "op10_judge_urls": url_rules.op10_judge_urls,
