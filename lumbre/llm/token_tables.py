@@ -28,13 +28,14 @@ Defined results
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -191,44 +192,77 @@ class TableReader:
         return found
 
 
+#: A run of letters that no normaliser changes but for case, or of full stops and commas:
+#: one pre-token, whose last id ends a word.
+_ONE = r"^(?:[a-zß-öø-ÿāăąćčďđēęěğģīįķļłńňŋōőœřśşšťūůűųźżž]+|[.,]+)$"
+_BEFORE_STOP = r"([a-zß-öø-ÿ0-9])([.,])"
+
+
 class WordEncoder:
     """Encodes texts word by word, each distinct word once while it is remembered.
 
-    For tokenizers that never join text across white space: their normalizer and
-    pre-tokenizer work inside words, and white space yields no ids.
+    For tokenizers that lower-case, never join text across white space and end each
+    pre-token with an id that ends a word. Full stops and commas are split off first,
+    where the pre-tokenizer would split anyway. Plain words are encoded many in one
+    string, and cut apart at the ids that end a word; other words one by one.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remember = Tokenizer.from_file(path), remember
-        if self.tokenizer.encode("a b\n c", add_special_tokens=False).ids != sum((self.tokenizer.encode(x, add_special_tokens=False).ids for x in "abc"), []):
-            raise ValueError("this tokenizer encodes white space; encode whole texts instead")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        whole = self.tokenizer.encode("Aa bb,\n c.", add_special_tokens=False).ids
+        if whole != sum((self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("aa", "bb", ",", "c", ".")), []):
+            raise ValueError("this tokenizer does not encode word by word; encode whole texts instead")
         self.forget()
 
     def forget(self) -> None:
         self.slot: dict[str, int] = {}
-        self.flat, self.first, self.size = array("I"), array("q"), array("q")
+        self.flat, self.first, self.size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.held = 0
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at = len(self.slot)
+        self.slot.update(zip(words, range(at, at + len(words)), strict=True))
+        self.flat.append(ids)
+        self.size.append(sizes)
+        self.first.append(self.held + np.cumsum(sizes) - sizes)
+        self.held += len(ids)
+
+    def _learn(self, words: list[str], plain: list[bool]) -> None:
+        simple = [w for w, p in zip(words, plain, strict=True) if p]
+        other = [w for w, p in zip(words, plain, strict=True) if not p]
+        for at in range(0, len(simple), 2000):
+            part = simple[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(part):
+                self._keep(part, ids, np.diff(last, prepend=-1))
+            else:
+                other += part
+        for at in range(0, len(other), 2000):
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(other[at : at + 2000], add_special_tokens=False)]
+            self._keep(other[at : at + 2000], np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, first id of each text and the end)."""
+        texts = pc.replace_substring_regex(pc.ascii_lower(texts), _BEFORE_STOP, r"\1 \2")
         codes, words, offsets = split_words(texts, lower=False)
         if len(self.slot) > self.remember:
             self.forget()
+        plain = pc.match_substring_regex(words, _ONE).to_pylist()
         words = words.to_pylist()
-        new = [w for w in words if w not in self.slot]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.slot[word] = len(self.first)
-                self.first.append(len(self.flat))
-                self.size.append(len(found.ids))
-                self.flat.extend(found.ids)
+        new = [i for i, w in enumerate(words) if w not in self.slot]
+        self._learn([words[i] for i in new], [plain[i] for i in new])
+        self.flat, self.first, self.size = ([np.concatenate(x)] for x in (self.flat, self.first, self.size))
         slots = np.fromiter((self.slot[w] for w in words), np.int64, len(words))[codes]
-        sizes = np.frombuffer(self.size, np.int64)[slots] if len(self.size) else np.zeros(0, np.int64)
+        sizes = self.size[0][slots]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        first = np.frombuffer(self.first, np.int64)[slots] if len(self.first) else sizes
-        ids = np.frombuffer(self.flat, np.uint32)[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])] if ends[-1] else np.zeros(0, np.uint32)
+        ids = self.flat[0][np.repeat(self.first[0][slots] - ends[:-1], sizes) + np.arange(ends[-1])]
         return ids, ends[offsets]
 
 
@@ -237,7 +271,7 @@ def _tables(tokenizer: str, end_id: int, file_ids: int, width: int):
         encoder, table = WordEncoder(tokenizer), TableWriter(width)
         # The file's last byte is written by the text writer as the end of its line.
         ready = lambda t: pa.RecordBatch.from_arrays([pa.array([t.finish()[:-1]], pa.binary())], names=["table"])
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             ids, starts = encoder.encode(batch.column(1))
             for key, a, b in zip(batch.column(0).to_pylist(), starts[:-1], starts[1:], strict=True):
                 table.add(pack_key(key), np.append(ids[a:b], np.uint32(end_id)))
