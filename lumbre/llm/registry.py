@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lumbre.llm import class_lm, fingerprints, language_id, mixing, near_dedup, preferences, sharding, token_tables, url_rules
+from lumbre.llm import class_lm, decontamination, fingerprints, language_id, mixing, near_dedup, preferences, sharding, token_tables, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_find_leaks": decontamination.op2_find_leaks,
     "op3_shard_documents": sharding.op3_shard_documents,
     "op4_identify_language": language_id.op4_identify_language,
     "op5_format_preferences": preferences.op5_format_preferences,
