@@ -215,17 +215,19 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
     added = ["lang_pred", "score"]
     kept = [f for f in docs.schema.fields if f.name not in added and (keep is None or f.name in keep)]
     schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    names = [f.name for f in kept]
+    read = text_col if text_col in names else "_text"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in slices(batches, "_text"):
-            *columns, texts = batch.columns
-            found = [own.predict(t.as_py()) for t in texts]
+        for batch in slices(batches, read):
+            found = [own.predict(t.as_py()) for t in batch.column(read)]
             labels, scores = pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([*columns, labels, scores], names=[*batch.schema.names[:-1], *added])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), labels, scores], names=[*names, *added])
 
-    return docs.select(*[F.col(f.name) for f in kept], F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    columns = [F.col(c) for c in names] + ([] if read in names else [F.col(text_col).alias(read)])
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def op4_identify_language(spark, sf_dir: str) -> DataFrame:
