@@ -59,11 +59,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_e
     budget = F.sum("source_size").over(everything) * F.lit(float(share))
     level = (budget - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(after)
     levels = ranked.withColumn("level", level)
-    fits = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))
-    return levels.withColumn("level", F.min(fits).over(everything)).select(
-        "source",
-        "source_size",
-        F.least(F.col("cap").cast("double"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap").cast("double"))).alias("target"),
+    # The level rises as long as sources below it are set to their caps, and falls after.
+    return levels.withColumn("level", F.max("level").over(everything)).select(
+        "source", "source_size", F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target")
     )
 
 
@@ -168,8 +166,8 @@ c AS (SELECT *, source_size * 3 AS cap, CAST(sum(source_size) OVER () AS BIGINT)
 l AS (SELECT *, (CAST(total AS DOUBLE) - coalesce(CAST(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0))
              / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS lv
       FROM c WINDOW o AS (ORDER BY CAST(cap AS DOUBLE) / weight, source NULLS LAST)),
-m AS (SELECT *, min(CASE WHEN lv * weight <= cap THEN lv END) OVER () AS best FROM l),
-t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), coalesce(best * weight, CAST(cap AS DOUBLE))) AS target FROM m),
+m AS (SELECT *, max(lv) OVER () AS best FROM l),
+t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), best * weight) AS target FROM m),
 n AS (SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 3) ELSE 0 END AS copies FROM t),
 g AS (SELECT source, h, sum(size) AS b FROM d GROUP BY source, h),
 r AS (SELECT source, h, b, sum(b) OVER (PARTITION BY source ORDER BY h) - b AS before FROM g)
