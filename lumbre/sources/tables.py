@@ -22,10 +22,10 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tup
     if not exists(spark, path):
         return spark.createDataFrame([], schema), spark.createDataFrame([], "line string")
     marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    lines = spark.read.schema(marked).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    # Without a column of its own beside it, Spark would not fill the corrupt record.
-    rejected = spark.read.text(path).filter(F.trim("value") != "").filter(F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})["_corrupt_record"].isNotNull())
-    return lines.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), rejected.select(F.col("value").alias("line"))
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    read = lines.withColumn("row", F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    broken = F.col("row._corrupt_record").isNotNull()
+    return read.filter(~broken).select("row.*").drop("_corrupt_record"), read.filter(broken).select(F.col("value").alias("line"))
 
 
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
