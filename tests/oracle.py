@@ -10,6 +10,8 @@ def _normal(frame):
     for c in frame.columns:
         if frame[c].dtype.kind == "f":
             frame[c] = frame[c].map(lambda v: "null" if v != v else f"{v:.6g}")
+        elif frame[c].dtype.kind == "M":
+            frame[c] = frame[c].astype(str).replace("NaT", "null")
         else:
             frame[c] = frame[c].map(lambda v: "null" if v is None or v != v else str(v))
     return frame.sort_values(list(frame.columns)).reset_index(drop=True)

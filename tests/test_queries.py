@@ -20,4 +20,5 @@ def test_entry(spark):
 
     assert e.entry(spark).count() == 1500
     assert set(core.queries()) <= set(e.queries())
-    assert (importlib.util.find_spec("lumbre.llm.registry") is not None) == any(n.startswith("op1_") for n in e.queries())
+    there = importlib.util.find_spec("lumbre.llm") is not None and importlib.util.find_spec("lumbre.llm.registry") is not None
+    assert there == any(n.startswith("op1_") for n in e.queries())
