@@ -81,22 +81,35 @@ def likeness(a: Column, b: Column, samples: int) -> Column:
     return total / F.lit(float(samples))
 
 
-def _ranges(docs: DataFrame, range_bytes: int) -> Column:
-    """The number of the id range of a row, by binary search over approximate quantiles."""
+def _bounds(docs: DataFrame, range_bytes: int) -> list[int]:
+    """The highest id of each id range, ascending. All but the last are approximate
+    quantiles, which are ids of rows, so that no range is empty."""
     size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))
-    total = docs.agg(F.coalesce(size, F.lit(0)).alias("b")).first()["b"]
-    n = int(max(1, min(MOST_RANGES, -(-int(total) // range_bytes))))
+    whole = docs.agg(F.coalesce(size, F.lit(0)).alias("bytes"), F.max("order_id").alias("top")).first()
+    n = int(max(1, min(MOST_RANGES, -(-int(whole["bytes"]) // range_bytes))))
+    if whole["top"] is None:
+        return []
     shares = F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else None
-    bounds = docs.agg(F.percentile_approx("order_id", shares, 20 * n).alias("q")).first()["q"] if n > 1 else []
-    bounds = sorted(set(bounds or []))
-    table, at, step = F.array(*[F.lit(int(b)).cast("long") for b in bounds]), F.lit(0), 1
-    while step <= len(bounds):
-        step *= 2
-    while step > 1 and bounds:
-        step //= 2
-        probe = at + F.lit(step)
-        at = F.when((probe <= len(bounds)) & (F.get(table, probe - 1) < F.col("order_id")), probe).otherwise(at)
-    return at
+    inner = docs.agg(F.percentile_approx("order_id", shares, 20 * n).alias("q")).first()["q"] if n > 1 else []
+    return sorted({*inner, whole["top"]})
+
+
+def _range(bounds: list[int]) -> Column:
+    """The number of a row's range, by binary search."""
+    table = F.array(*[F.lit(b).cast("long") for b in bounds[:-1]])
+    steps = [1 << i for i in reversed(range(max(0, len(bounds) - 1).bit_length()))]
+    if not steps:
+        return F.lit(0)
+
+    # The id goes in with the state: optimiser rules overlook columns that only a lambda's body names.
+    start = F.struct(F.lit(0).alias("at"), F.col("order_id").alias("id"))
+
+    def halve(now: Column, step: Column) -> Column:
+        probe = now["at"] + step
+        beyond = (probe < len(bounds)) & (F.get(table, probe - 1) < now["id"])
+        return F.struct(F.when(beyond, probe).otherwise(now["at"]).alias("at"), now["id"].alias("id"))
+
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), start, halve, lambda now: now["at"])
 
 
 def fingerprint_neighbours(docs: DataFrame, samples: int = 32, range_bytes: int = 2 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,15 +120,12 @@ def fingerprint_neighbours(docs: DataFrame, samples: int = 32, range_bytes: int
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("order_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    docs = docs.withColumn("range", _ranges(docs, range_bytes))
-    tops = docs.groupBy("range").agg(F.max("order_id").alias("order_id"))
-    tops = scratch.save(tops.coalesce(1), "fp-tops")
-    downwards = Window.orderBy(F.desc("range"))
-    highest = F.max("range").over(Window.partitionBy(F.lit(0)))
-    after = tops.select("range", F.coalesce(F.lead("range").over(downwards), highest).alias("next_range"))
-    heads = docs.join(tops, ["range", "order_id"]).groupBy("range").agg(F.min("text").alias("head"))
-    heads = after.join(heads.withColumnRenamed("range", "next_range"), "next_range").select("range", "head")
-    heads = scratch.save(heads, "fp-heads")
+    bounds = _bounds(docs, range_bytes)
+    tops = docs.sparkSession.createDataFrame([(i, b, i - 1 if i else len(bounds) - 1) for i, b in enumerate(bounds)], "range int, order_id long, next_range int")
+    heads = docs.join(tops, "order_id").groupBy("range").agg(F.min("text").alias("head")).withColumnRenamed("range", "next_range")
+    after = tops.select("range", "next_range")
+    heads = scratch.save(after.join(heads, "next_range").select("range", "head"), "fp-heads")
+    docs = docs.withColumn("range", _range(bounds))
 
     order = Window.partitionBy("range").orderBy(F.desc("order_id"), "text")
     placed = docs.withColumns({"place": F.row_number().over(order), "next": F.lead("text").over(order)})
