@@ -40,16 +40,14 @@ def _part(bits: Column, shift: int, width: int) -> Column:
     return (F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(0.5)) / F.lit(float(1 << width))
 
 
-def _draw(word: Column, log_weight: Column, k: int) -> Column:
-    """Sample ``k`` of a word: its rank in the high bits, the hash of (word, t) in the low ones."""
+def _rank(word: Column, log_weight: Column, k: int) -> Column:
+    """ln c - r (t - beta) - r for draw ``k`` of a word. It is the same number exactly where
+    word and t are the same, so that the least rank names the sample."""
     one, two = F.xxhash64(word, F.lit(2 * k)), F.xxhash64(word, F.lit(2 * k + 1))
     r = -F.ln(_part(one, 0, 21) * _part(one, 21, 21))
     beta = _part(one, 42, 22)
     c = -F.ln(_part(two, 0, 32) * _part(two, 32, 32))
-    t = F.floor(log_weight / r + beta)
-    rank = F.ln(c) - r * (t - beta) - r
-    scaled = F.floor((F.greatest(F.least(rank, F.lit(63.0)), F.lit(-63.0)) + F.lit(64.0)) * F.lit(float(1 << 32)))
-    return F.shiftleft(scaled, 4 * DIGITS).bitwiseOR(one.bitwiseXOR(t * F.lit(7919)).bitwiseAND(F.lit((1 << 4 * DIGITS) - 1)))
+    return F.ln(c) - r * (F.floor(log_weight / r + beta) - beta + 1)
 
 
 def weighted_words(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
@@ -65,10 +63,10 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def weighted_samples(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
     """Fingerprints of (keys, word, log_weight); keys without words have no row."""
-    drawn = [F.min(_draw(F.col("word"), F.col("log_weight"), k)).alias(f"s{k}") for k in range(samples)]
+    drawn = [F.min(_rank(F.col("word"), F.col("log_weight"), k)).alias(f"s{k}") for k in range(samples)]
     least = terms.groupBy(*keys).agg(*drawn)
     low = F.lit((1 << 4 * DIGITS) - 1)
-    text = F.concat(*[F.lpad(F.lower(F.hex(F.col(f"s{k}").bitwiseAND(low))), DIGITS, "0") for k in range(samples)])
+    text = F.concat(*[F.lpad(F.lower(F.hex(F.xxhash64(f"s{k}").bitwiseAND(low))), DIGITS, "0") for k in range(samples)])
     return least.select(*keys, text.alias("fingerprint"))
 
 
@@ -112,7 +110,7 @@ def _range(bounds: list[int]) -> Column:
     return F.aggregate(F.array(*[F.lit(x) for x in steps]), start, halve, lambda now: now["at"])
 
 
-def fingerprint_neighbours(docs: DataFrame, samples: int = 32, range_bytes: int = 2 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprint_neighbours(docs: DataFrame, samples: int = 24, range_bytes: int = 2 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text, of its edited text and their likenesses.
 
     The edited text is the text with its last floor(n / 2) code points replaced by the
