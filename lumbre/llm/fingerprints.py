@@ -120,7 +120,8 @@ def fingerprint_neighbours(docs: DataFrame, samples: int = 24, range_bytes: int
     docs = docs.withColumn("order_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
     bounds = _bounds(docs, range_bytes)
     tops = docs.sparkSession.createDataFrame([(i, b, i - 1 if i else len(bounds) - 1) for i, b in enumerate(bounds)], "range int, order_id long, next_range int")
-    heads = docs.join(tops, "order_id").groupBy("range").agg(F.min("text").alias("head")).withColumnRenamed("range", "next_range")
+    # At most MOST_RANGES rows of three numbers.
+    heads = docs.join(F.broadcast(tops), "order_id").groupBy("range").agg(F.min("text").alias("head")).withColumnRenamed("range", "next_range")
     after = tops.select("range", "next_range")
     heads = scratch.save(after.join(heads, "next_range").select("range", "head"), "fp-heads")
     docs = docs.withColumn("range", _range(bounds))
