@@ -116,15 +116,16 @@ def fingerprint_neighbours(docs: DataFrame, samples: int = 24, range_bytes: int
     The edited text is the text with its last floor(n / 2) code points replaced by the
     first as many, or all, of the next document's.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    docs = docs.withColumn("order_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
+    lowest = F.lit(-(1 << 63))
+    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), lowest).alias("order_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     bounds = _bounds(docs, range_bytes)
     tops = docs.sparkSession.createDataFrame([(i, b, i - 1 if i else len(bounds) - 1) for i, b in enumerate(bounds)], "range int, order_id long, next_range int")
     # At most MOST_RANGES rows of three numbers.
     heads = docs.join(F.broadcast(tops), "order_id").groupBy("range").agg(F.min("text").alias("head")).withColumnRenamed("range", "next_range")
     after = tops.select("range", "next_range")
     heads = scratch.save(after.join(heads, "next_range").select("range", "head"), "fp-heads")
-    docs = docs.withColumn("range", _range(bounds))
+    # Partitions of a few ranges, whose words fit an executor's memory.
+    docs = docs.withColumn("range", _range(bounds)).repartition(max(1, -(-len(bounds) // 4)), "range")
 
     order = Window.partitionBy("range").orderBy(F.desc("order_id"), "text")
     placed = docs.withColumns({"place": F.row_number().over(order), "next": F.lead("text").over(order)})
@@ -132,7 +133,7 @@ def fingerprint_neighbours(docs: DataFrame, samples: int = 24, range_bytes: int
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("next"), half))
-    rows = placed.select("range", "place", "doc_id", "text", edited.alias("edited"), n.cast("long").alias("n_chars"))
+    rows = placed.select("range", "place", "order_id", "text", edited.alias("edited"), n.cast("long").alias("n_chars"))
 
     sides = rows.select("range", "place", F.posexplode(F.array("text", "edited")).alias("side", "t"))
     printed = weighted_samples(weighted_words(sides, ["range", "place", "side"], "t"), ["range", "place", "side"], samples)
@@ -140,7 +141,8 @@ def fingerprint_neighbours(docs: DataFrame, samples: int = 24, range_bytes: int
     other = F.max(F.when(F.col("side") == 1, F.col("fingerprint")))
     printed = printed.groupBy("range", "place").agg(own.alias("fingerprint"), other.alias("edited_fingerprint"))
     zeros = F.lit("0" * DIGITS * samples)
-    about = rows.select("range", "place", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    # Both branches read the same columns of the texts, so that one shuffle serves both.
+    about = rows.select("range", "place", "order_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     table = about.join(printed, ["range", "place"], "left").withColumns({c: F.coalesce(c, zeros) for c in ("fingerprint", "edited_fingerprint")})
     table = scratch.save(table, "fp-rows")
 
@@ -150,7 +152,7 @@ def fingerprint_neighbours(docs: DataFrame, samples: int = 24, range_bytes: int
     paired = table.withColumn("next", F.lead("fingerprint").over(in_range)).join(firsts, "range", "left")
     following = F.coalesce("next", "first")
     return paired.select(
-        "doc_id",
+        F.when(F.col("order_id") != lowest, F.col("order_id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
         "fingerprint",
