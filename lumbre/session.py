@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +20,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose executors do not share that folder, ship it with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    own = spark.sparkContext.environment
+    paths = own.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        own["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
