@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from lumbre import scratch
 from lumbre.llm import decontamination, language_id, mixing, near_dedup, sharding
 
-#: The least calibrated probability at which a text counts as written in some language.
-LEAST_SCORE = 0.35
+#: A text counts as written in some language from this many times the probability of a guess.
+OVER_CHANCE = 1.2
 BROADCAST_ROWS = 1_000_000
 
 
@@ -35,7 +35,8 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs)
     told = language_id.identify(docs, model)
-    return told.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    least = min(1.0, OVER_CHANCE / max(1, len(model.labels)))
+    return told.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -169,14 +169,14 @@ def op10_judge_urls(spark, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = r"""
-WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
-c AS (SELECT page_id, coalesce(regexp_extract(rest, '^[^#?]*'), '') AS u FROM p),
-h AS (SELECT page_id, translate(regexp_extract(u, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+WITH p AS (SELECT page_id, row_number() OVER () AS rid, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+c AS (SELECT page_id, rid, coalesce(regexp_extract(rest, '^[^#?]*'), '') AS u FROM p),
+h AS (SELECT page_id, rid, translate(regexp_extract(u, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(u, '/.*$', 0, 's') AS path FROM c),
 r AS (SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
                             ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS t(rh, rp, rv)),
 m AS (SELECT h.page_id, h.host, h.path, r.rh || r.rp AS rule, r.rv,
-             row_number() OVER (PARTITION BY h.page_id ORDER BY length(r.rh || r.rp) DESC) AS rn
+             row_number() OVER (PARTITION BY h.rid ORDER BY length(r.rh || r.rp) DESC) AS rn
       FROM h LEFT JOIN r ON ends_with('.' || h.host, '.' || r.rh) AND starts_with(h.path, r.rp))
 SELECT page_id, host, path, rule,
        coalesce(rv, CASE WHEN contains(host || path, 'spam-farm.') OR contains(host || path, 'cheap-pills.')
