@@ -208,3 +208,37 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 200: 100}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_report_and_downloads(spark):
+    searches = spark.createDataFrame([("ok", False), ("ok", True), ("expired", False), ("failed", False)], "outcome string, saturated boolean")
+    cases = spark.createDataFrame([(True,), (False,), (None,)], "movimentacoesCompleto boolean")
+    downloads = spark.createDataFrame([("1", 10), ("2", 5)], "idProcessoDocumento string, bytes long")
+    failures = spark.createDataFrame([("k",)], "key string")
+    got = jobs.report(searches, cases, downloads, failures)
+    assert (got["searches"], got["ok"], got["saturated"], got["cases"], got["partial_cases"], got["bytes"], got["pending_failures"]) == (4, 2, 1, 3, 1, 15, 1)
+    documents = spark.createDataFrame(
+        [("1", "k", 0, "pdf", "u"), ("3", "k", 1, "pdf", "u"), ("4", "k", 2, "html", None), ("5", "k", 3, "pdf", None), ("6", "k", 4, "pdf", "u"), ("7", "k", 5, "pdf", "u")],
+        "idProcessoDocumento string, ca string, index int, formato string, downloadUrl string",
+    )
+    assert sorted(r[0] for r in limits.to_download(documents, downloads, k=2).select("idProcessoDocumento").collect()) == ["3", "6"]
+
+
+def test_tables_that_are_read_and_rewritten(spark, tmp_path):
+    path = f"file://{tmp_path}/failures.jsonl"
+    made = [("detail", "detail:1", "t", "old", None, 1, None, "{}"), ("detail", "detail:1", "t", "new", 500, 2, None, "{}"), ("pdf", "pdf:1", "t", "x", None, 1, None, "{}")]
+    sinks.append_json(spark.createDataFrame(made[:2], schemas.FAILURE), path)
+    sinks.append_json(spark.createDataFrame(made[2:], schemas.FAILURE), path)
+    now = tables.read_failures(spark, path)
+    assert {r["key"]: (r["error"], r["attempts"], r["status"]) for r in now.collect()} == {"detail:1": ("new", 2, 500), "pdf:1": ("x", 1, None)}
+    sinks.rewrite(dedup.clear_failures(now, spark.createDataFrame([("pdf:1",)], "key string")), path)
+    assert [r["key"] for r in tables.read_failures(spark, path).collect()] == ["detail:1"]
+    (tmp_path / "classes.json").write_text('[{"codigo":"2","nome":"\\u00c9poca"},{"codigo":"1","nome":"Zelo"},{"codigo":"3"},{"codigo":"4","nome":"Fato"}]')
+    classes = tables.sorted_catalogue(tables.read_catalogue(spark, f"file://{tmp_path}/classes.json"))
+    assert [r["nome"] for r in classes.collect()] == ["Época", "Fato", "Zelo"]
+    (tmp_path / "bad.json").write_text("{broken")
+    assert tables.read_catalogue(spark, f"file://{tmp_path}/bad.json").count() == 0 and tables.read_catalogue(spark, f"file://{tmp_path}/no.json").count() == 0
+    cases = spark.createDataFrame([parse.case_page(PAGE, "k1", "https://e.org/c")], schemas.CASE)
+    summaries = spark.createDataFrame([("k1", "77", None, "Ana X Beto", "Fim")], schemas.T.StructType([schemas.T.StructField("ca", schemas.S), schemas.T.StructField("internalId", schemas.S), schemas.T.StructField("foundBy", schemas.CRITERIA), schemas.T.StructField("partesResumo", schemas.S), schemas.T.StructField("ultimaMovimentacao", schemas.S)]))
+    (row,) = sinks.with_summary(cases, summaries).collect()
+    assert (row["internalId"], row["partesResumo"], row["numeroProcesso"]) == ("77", "Ana X Beto", "0001223-51.2020.1.02.0003")
