@@ -107,7 +107,9 @@ def _range(bounds: list[int]) -> Column:
         beyond = (probe < len(bounds)) & (F.get(table, probe - 1) < now["id"])
         return F.struct(F.when(beyond, probe).otherwise(now["at"]).alias("at"), now["id"].alias("id"))
 
-    return F.aggregate(F.array(*[F.lit(x) for x in steps]), start, halve, lambda now: now["at"])
+    found = F.aggregate(F.array(*[F.lit(x) for x in steps]), start, halve, lambda now: now["at"])
+    # Never null, so that no side of a join gets a filter of its own and shuffles can be shared.
+    return F.coalesce(found, F.lit(0))
 
 
 def fingerprint_neighbours(docs: DataFrame, samples: int = 24, range_bytes: int = 2 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
