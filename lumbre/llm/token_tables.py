@@ -32,6 +32,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -207,7 +208,7 @@ class WordEncoder:
     string, and cut apart at the ids that end a word; other words one by one.
     """
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -233,20 +234,29 @@ class WordEncoder:
         self.first.append(self.held + np.cumsum(sizes) - sizes)
         self.held += len(ids)
 
-    def _learn(self, words: list[str], plain: list[bool]) -> None:
-        simple = [w for w, p in zip(words, plain, strict=True) if p]
-        other = [w for w, p in zip(words, plain, strict=True) if not p]
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """The slots of words that have none yet."""
+        slots = np.zeros(len(words), np.int64)
+        plain = pc.match_substring_regex(words, _ONE).to_numpy(zero_copy_only=False)
+        words, other = words.to_pylist(), list(np.flatnonzero(~plain))
+        simple = np.flatnonzero(plain)
         for at in range(0, len(simple), 2000):
             part = simple[at : at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            texts = [words[i] for i in part]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
             last = np.flatnonzero(self.ends[ids])
             if len(last) == len(part):
-                self._keep(part, ids, np.diff(last, prepend=-1))
+                slots[part] = len(self.slot) + np.arange(len(part))
+                self._keep(texts, ids, np.diff(last, prepend=-1))
             else:
-                other += part
+                other += list(part)
         for at in range(0, len(other), 2000):
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(other[at : at + 2000], add_special_tokens=False)]
-            self._keep(other[at : at + 2000], np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
+            part = other[at : at + 2000]
+            texts = [words[i] for i in part]
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            slots[part] = len(self.slot) + np.arange(len(part))
+            self._keep(texts, np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
+        return slots
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, first id of each text and the end)."""
@@ -254,12 +264,11 @@ class WordEncoder:
         codes, words, offsets = split_words(texts, lower=False)
         if len(self.slot) > self.remember:
             self.forget()
-        plain = pc.match_substring_regex(words, _ONE).to_pylist()
-        words = words.to_pylist()
-        new = [i for i, w in enumerate(words) if w not in self.slot]
-        self._learn([words[i] for i in new], [plain[i] for i in new])
+        slots = np.fromiter(map(self.slot.get, words.to_pylist(), repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slots < 0)
+        slots[new] = self._learn(words.take(pa.array(new)))
         self.flat, self.first, self.size = ([np.concatenate(x)] for x in (self.flat, self.first, self.size))
-        slots = np.fromiter((self.slot[w] for w in words), np.int64, len(words))[codes]
+        slots = slots[codes]
         sizes = self.size[0][slots]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[0][np.repeat(self.first[0][slots] - ends[:-1], sizes) + np.arange(ends[-1])]
@@ -290,7 +299,7 @@ def write_tables(
     tokenizer: str,
     end_id: int,
     width: int = 2,
-    file_ids: int = 8 << 20,
+    file_ids: int = 4 << 20,
     partition_bytes: int = 24 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
