@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the white space that collapsing covers, no-break space included.
 SPACES = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
+#: Printed forms of case numbers and time stamps.
 PROCESS_NUMBER = r"\d{7}-\d{2}\.\d{4}\.\d\.\d{2}\.\d{4}"
 TIMESTAMP = r"(?s)^(\d{2}/\d{2}/\d{4}(?:\s+\d{2}:\d{2}:\d{2})?)\s*[-–]\s*(.*)$"
 

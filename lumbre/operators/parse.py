@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from lumbre import schemas
 from lumbre.operators.dom import Node, clean, parse
 
+#: The forms in which the pages print numbers, stamps, links, counts and widgets.
 NUMBER = re.compile(r"\d{7}-\d{2}\.\d{4}\.\d\.\d{2}\.\d{4}")
 STAMP = re.compile(r"^(\d{2}/\d{2}/\d{4}(?:\s+\d{2}:\d{2}:\d{2})?)\s*[-–]\s*(.*)$", re.S)
 POPUP = re.compile(r"openPopUp\(\s*'[^']*'\s*,\s*'([^']+)'\s*\)")
