@@ -6,6 +6,7 @@ form feed and carriage return; where lower case is asked for, only A-Z change.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,14 @@ def id_crc32(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are used again by later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes in each piece."""
     for batch in batches:
@@ -37,6 +46,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20)
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(int(a), int(b - a))
+        give_back()
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
