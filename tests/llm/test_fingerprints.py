@@ -82,3 +82,14 @@ def test_no_python_in_the_plan(spark, sf_dir):
 def test_one_id(spark):
     got = fp.fingerprint_neighbours(spark.range(50).select(F.lit(3).alias("doc_id"), F.concat(F.lit("t "), F.col("id")).alias("text")))
     assert got.count() == 50
+
+
+def test_accuracy_of_the_query(spark, sf_dir):
+    """The likenesses that the query itself gives, against the exact ones."""
+    docs = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {r["doc_id"]: r for r in fp.op8_fingerprint_documents(spark, sf_dir).collect()}
+    assert {len(r["fingerprint"]) for r in got.values()} == {32 * fp.DIGITS}
+    off = []
+    for key, _, _, e, following, text in brute(docs):
+        off += [got[key]["near_edited"] - jaccard(text, e), got[key]["near_next"] - jaccard(text, following)]
+    assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.09
