@@ -14,14 +14,15 @@ Defined results
     null lang              not learned from
     null id                counts as the empty text where rows are dealt by id
     very long texts        read whole, in pieces
-    repeated rows          predicted alike, all kept
+    repeated rows          predicted alike, all kept; in the sample they count once
+    over MOST_LABELS       languages: an error, as weights grow with their number
     ties                   the language first by code point
     clashing names         only the id, text and language columns are read
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -31,10 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbre.llm.words import id_crc32, slices
+from lumbre.llm.words import id_crc32, slices, small_batches
 
 FEATURES = 1 << 15
-PIECE = 1 << 20
+PIECE = 1 << 18
+MOST_LABELS = 1000
+#: Most numbers of a product, a single text aside.
+PRODUCT = 1 << 21
 
 
 @cache
@@ -62,12 +66,12 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     before = np.concatenate([[True], letter[:-1]])
     codes = np.where(letter, codes, np.uint32(32))[letter | before]
     codes = np.concatenate([[32], codes, [32]]).astype(np.uint32)
-    total = np.zeros(FEATURES, np.int64)
+    total = None
     for at in range(0, max(1, len(codes) - 2), PIECE):
         a = codes[at : at + PIECE]
         b, c = codes[at + 1 : at + PIECE + 1], codes[at + 2 : at + PIECE + 2]
-        for parts in ([a], [a, b], [a, b, c]):
-            total += np.bincount(_cells(parts), minlength=FEATURES)
+        found = np.bincount(np.concatenate([_cells([a]), _cells([a, b]), _cells([a, b, c])]), minlength=FEATURES)
+        total = found if total is None else total + found
     found = np.flatnonzero(total)
     return found, total[found]
 
@@ -85,16 +89,27 @@ class LanguageModel:
         x = (1 + np.log(counts)) * self.idf[cells]
         return x / max(np.sqrt(x @ x), 1e-12)
 
-    def logits(self, cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.vector(cells, counts) @ self.weights[cells]
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        found = ngram_counts(text) if self.labels else None
-        if found is None:
-            return "und", 0.0
-        p = _softmax(self.logits(*found) / self.temperature)
-        best = int(p.argmax())
-        return self.labels[best], float(min(1.0, p[best]))
+    def predict(self, texts: Iterable[str | None]) -> tuple[list[str], np.ndarray]:
+        """Labels and scores of texts, many in one sparse product."""
+        found = [ngram_counts(t) if self.labels else None for t in texts]
+        labels, scores = ["und"] * len(found), np.zeros(len(found))
+        there = np.array([i for i, x in enumerate(found) if x is not None], np.int64)
+        sizes = np.array([len(found[i][0]) for i in there], np.int64)
+        part = np.cumsum(sizes) * len(self.labels) // PRODUCT
+        for k in np.unique(part):
+            own, n = there[part == k], sizes[part == k]
+            cells = np.concatenate([found[i][0] for i in own])
+            starts = np.cumsum(n) - n
+            x = (1 + np.log(np.concatenate([found[i][1] for i in own]))) * self.idf[cells]
+            norms = np.maximum(np.sqrt(np.add.reduceat(x * x, starts)), 1e-12)
+            logits = np.add.reduceat(x[:, None] * self.weights[cells], starts) / norms[:, None] / self.temperature
+            p = np.exp(logits - logits.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            best = p.argmax(axis=1)
+            scores[own] = np.minimum(1.0, p[np.arange(len(own)), best])
+            for i, label in zip(own, best, strict=True):
+                labels[i] = self.labels[label]
+        return labels, scores
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -152,7 +167,7 @@ def fit_temperature(logits: list[np.ndarray], classes: list[int]) -> float:
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, docs = np.zeros(FEATURES, np.int64), 0
-    for batch in batches:
+    for batch in slices(batches, "text", 1 << 20):
         for text in batch.column(0):
             if (found := ngram_counts(text.as_py())) is not None:
                 seen[found[0]] += 1
@@ -163,7 +178,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "text", 1 << 20):
         rows = [ngram_counts(t.as_py()) for t in batch.column(2)]
         cells = pa.array([None if r is None else r[0].astype("<u2").tobytes() for r in rows], pa.binary())
         counts = pa.array([None if r is None else r[1].astype("<u4").tobytes() for r in rows], pa.binary())
@@ -171,11 +186,19 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, sample_rows: int = 4000, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Fit on ``docs``, rows without a language aside. At most about ``sample_rows`` rows come to the driver."""
+    """Fit on ``docs``, rows without a language aside.
+
+    Languages, their rows and the document frequencies are counted over all rows. The
+    weights are fitted on about ``sample_rows`` rows, taken by a hash of id and text, each
+    language as far as its share goes; at most twice as many come to the driver, as features.
+    """
+    small_batches(docs.sparkSession)
     rows = docs.filter(F.col(lang_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_rows).collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LABELS + 1).collect()}
+    if len(sizes) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} languages")
     labels = sorted(sizes)
     if not labels:
         return LanguageModel([], np.zeros(FEATURES), np.zeros((FEATURES, 1)), 1.0)
@@ -189,12 +212,12 @@ def train(docs: DataFrame, sample_rows: int = 4000, seed: int = 11, id_col: str
             df[r["cell"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)) + 1
 
-    h = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit(seed)), F.lit(1 << 40))
+    h = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.coalesce("text", F.lit("")), F.lit(seed)), F.lit(1 << 40))
     each = max(1, sample_rows // len(labels))
     bound = spark_map({k: int(min(1.0, each / n) * (1 << 40)) for k, n in sizes.items()})
-    sample = rows.withColumn("h", h).filter(F.col("h") < F.element_at(bound, F.col("lang"))).select("h", "lang", "text").limit(2 * sample_rows)
-    found = sample.mapInArrow(_sampled, "h long, lang string, cells binary, counts binary").collect()
-    found = sorted((r for r in found if r["cells"] is not None), key=lambda r: (r["h"], r["lang"], r["cells"]))
+    sample = rows.withColumn("h", h).filter(F.col("h") < F.element_at(bound, F.col("lang"))).select("h", "lang", "text")
+    found = sample.mapInArrow(_sampled, "h long, lang string, cells binary, counts binary").filter("cells IS NOT NULL").dropDuplicates(["h", "lang"])
+    found = sorted(found.orderBy("h", "lang").limit(2 * sample_rows).collect(), key=lambda r: (r["h"], r["lang"], r["cells"]))
     model = LanguageModel(labels, idf, np.zeros((FEATURES, len(labels))), 1.0)
     number = {k: i for i, k in enumerate(labels)}
     fitted, held = [], []
@@ -217,14 +240,14 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
     schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     names = [f.name for f in kept]
     read = text_col if text_col in names else "_text"
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in slices(batches, read):
-            found = [own.predict(t.as_py()) for t in batch.column(read)]
-            labels, scores = pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), labels, scores], names=[*names, *added])
+        for batch in slices(batches, read, 1 << 20):
+            labels, scores = own.predict(t.as_py() for t in batch.column(read))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(labels, pa.string()), pa.array(scores)], names=[*names, *added])
 
     columns = [F.col(c) for c in names] + ([] if read in names else [F.col(text_col).alias(read)])
     return docs.select(*columns).mapInArrow(run, schema)

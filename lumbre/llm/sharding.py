@@ -2,7 +2,7 @@
 
 Pass one scatters the records by seeded hashes into buckets of about ``bucket_bytes``
 each; every bucket belongs to one shard. Pass two takes one bucket at a time into
-memory, brings it into an order that depends on its content alone, shuffles it
+memory, in partitions of ``PARTITION_BUCKETS`` buckets on average, brings it into an order that depends on its content alone, shuffles it
 (Fisher-Yates with a seed of its own) and writes it. A shard is its buckets one after
 another; a record's slot is its place in its shard.
 
@@ -13,8 +13,9 @@ only into itself.
 Defined results
     null id           one key like any other
     null text         size 1, crc32 of the empty text
-    repeated rows     each has a slot of its own; an id that repeats more than
-                      ``heavy`` times is spread over all buckets of its shard
+    repeated rows     each has a slot of its own; equal rows that together fill more than
+                      a bucket are numbered and spread over all buckets of their shard
+    very long texts   one record, held in memory by the task that shuffles its bucket
     empty table       no rows
     clashing names    columns of ``docs`` named like those that are added are dropped
 """
@@ -28,7 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumbre import scratch
+from lumbre.llm.words import give_back, lean_worker, numbered, small_batches
 
+PARTITION_BUCKETS = 4
+#: From here on a partition gets more buckets, still with one at a time in memory.
+MOST_PARTITIONS = 1 << 16
 ADDED = ["shard", "bucket", "place", "slot", "grown_shard"]
 
 
@@ -40,10 +45,13 @@ def shard_of(key: Column, n_shards: int, seed: int) -> Column:
 
 def _fisher_yates(seed: int):
     def shuffle(table: pa.Table) -> pa.Table:
+        lean_worker()
         bucket = table.column("bucket")[0].as_py()
-        rows = table.sort_by([("_key", "ascending"), ("_row", "ascending")])
-        order = np.random.Generator(np.random.Philox(key=[seed, bucket])).permutation(rows.num_rows)
-        rows = rows.take(pa.array(order)).drop_columns(["_key", "_row"])
+        fixed = np.lexsort((table.column("_row").to_numpy(), table.column("_key").to_numpy()))
+        order = fixed[np.random.Generator(np.random.Philox(key=[seed, bucket])).permutation(table.num_rows)]
+        rows = table.drop_columns(["_key", "_row"]).take(pa.array(order))
+        del table
+        give_back()
         return rows.append_column("place", pa.array(np.arange(rows.num_rows, dtype=np.int64)))
 
     return shuffle
@@ -53,8 +61,7 @@ def shard_records(
     docs: DataFrame,
     n_shards: int = 16,
     seed: int = 7,
-    bucket_bytes: int = 16 << 20,
-    heavy: int = 10_000,
+    bucket_bytes: int = 4 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
     path: str | None = None,
@@ -64,23 +71,27 @@ def shard_records(
     ``bucket``, ``slot`` and ``grown_shard`` (the shard under one more shard).
     """
     spark = docs.sparkSession
+    small_batches(spark)
     path = path or scratch.new_path(spark, "shards")
     docs = docs.select(*[F.col(c) for c in docs.columns if c not in ADDED])
     key, text = F.col(id_col), F.col(text_col)
     size = F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(64)
-    total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
-    per_shard = max(1, -(-int(total) // (n_shards * bucket_bytes)))
-    counts = scratch.save(docs.groupBy(key.alias("_k")).count().filter(F.col("count") > heavy).coalesce(1), "shard-heavy")
     row = F.xxhash64(*[F.col(c) for c in docs.columns])
     keyed = docs.withColumns({"_key": F.xxhash64(key, F.lit(seed)), "_row": row})
-    if counts.head(1):
-        keyed = keyed.join(counts, key.eqNullSafe(counts["_k"]), "left")
-        spread = F.when(F.col("count").isNotNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
-        keyed = keyed.withColumn("_spread", spread).drop("_k", "count")
+    total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
+    per_shard = max(1, -(-int(total) // (n_shards * bucket_bytes)))
+    # Equal rows that would overfill a bucket; their number is bounded by the buckets'.
+    alike = keyed.groupBy("_key", "_row").agg(F.sum(size).alias("b"), F.count("*").alias("n")).filter((F.col("n") > 1) & (F.col("b") > bucket_bytes))
+    alike = scratch.save(alike.select("_key", "_row").coalesce(1), "shard-alike")
+    zero = F.lit(0).cast("long")
+    if per_shard > 1 and alike.head(1):
+        hot = numbered(keyed.join(alike, ["_key", "_row"], "left_semi"), ["_key", "_row"], "_number")
+        keyed = keyed.join(alike, ["_key", "_row"], "left_anti").withColumn("_number", zero).unionByName(hot)
     else:
-        keyed = keyed.withColumn("_spread", F.lit(0).cast("long"))
-    within = F.pmod(F.xxhash64("_key", "_row", "_spread", F.lit(seed)), F.lit(per_shard))
-    scattered = keyed.withColumn("shard", shard_of(key, n_shards, seed)).withColumn("bucket", (F.col("shard") * per_shard + within).cast("long")).drop("_spread")
+        keyed = keyed.withColumn("_number", zero)
+    within = F.pmod(F.xxhash64("_key", "_row", "_number", F.lit(seed)), F.lit(per_shard))
+    scattered = keyed.withColumn("shard", shard_of(key, n_shards, seed)).withColumn("bucket", (F.col("shard") * per_shard + within).cast("long")).drop("_number")
+    scattered = scattered.repartition(min(MOST_PARTITIONS, max(1, n_shards * per_shard // PARTITION_BUCKETS)), "bucket")
     fields = [f for f in scattered.schema.fields if f.name not in ("_key", "_row")]
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields] + [T.StructField("place", T.LongType())])
     done = scattered.groupBy("bucket").applyInArrow(_fisher_yates(seed), schema)

@@ -84,4 +84,4 @@ def test_messy(spark, messy, nothing, sf_dir):
 def test_sample_is_bounded_and_even(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2900, "aa").otherwise("bb").alias("lang"), F.when(F.col("id") < 2900, "lorem ipsum").otherwise("zwei drei").alias("text"))
     model = li.train(docs, sample_rows=200)
-    assert model.labels == ["aa", "bb"] and model.predict("zwei drei")[0] == "bb" and model.predict("ipsum")[0] == "aa"
+    assert model.labels == ["aa", "bb"] and model.predict(["zwei drei", None, "ipsum", "12"])[0] == ["bb", "und", "aa", "und"]

@@ -31,13 +31,17 @@ def test_shuffles_and_keeps_rows(spark):
     assert {r["doc_id"]: r["slot"] for r in other} != {r["doc_id"]: r["slot"] for r in got}
 
 
-def test_heavy_key_is_spread(spark):
+def test_equal_rows_are_spread_alike_whatever_the_partitions(spark):
     docs = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
-    got = shard_records(docs, 2, bucket_bytes=10_000, heavy=100).collect()
-    hot = [r for r in got if r["doc_id"] == -1]
-    assert len(hot) == 1000 and len({r["shard"] for r in hot}) == 1 and len({r["bucket"] for r in hot}) > 5
-    for s in (0, 1):
-        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    seen = []
+    for parts in (1, 7):
+        got = shard_records(docs.repartition(parts), 2, bucket_bytes=10_000).collect()
+        hot = [r for r in got if r["doc_id"] == -1]
+        assert len(hot) == 1000 and len({r["shard"] for r in hot}) == 1 and len({r["bucket"] for r in hot}) > 5
+        for s in (0, 1):
+            assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+        seen.append(sorted((r["doc_id"], r["text"], r["shard"], r["bucket"], r["slot"]) for r in got))
+    assert seen[0] == seen[1]
 
 
 def test_messy(messy, nothing):
