@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from lumbre import scratch
 from lumbre.components import connected_components
-from lumbre.llm.words import slices, split_words
+from lumbre.llm.words import BROADCAST_ROWS, small_batches, slices, split_words, text_hash, without_rows
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -48,7 +48,6 @@ SKETCH_BITS = 512
 #: Most differing bits of two sketches whose estimate is 0.5 or more.
 MOST_BITS = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * HASHES * 0.5 / SKETCH_BITS)))
 BLOCK = 2048
-BROADCAST_ROWS = 1_000_000
 
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,12 +135,12 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (len(a) + len(b) - shared)
 
 
-SKETCHED = "doc_id long, n long, node binary, bands array<long>, sketch array<long>"
+SKETCHED = "doc_id long, text_hash long, n long, node binary, bands array<long>, sketch array<long>"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 4 << 20):
-        x, starts = shingle_sets(batch.column(1))
+    for batch in slices(batches, "text"):
+        x, starts = shingle_sets(batch.column(2))
         n = np.diff(starts)
         values = min_hashes(x, starts)
         row = np.where(n > 0, np.cumsum(n > 0) - 1, -1)
@@ -150,19 +149,20 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(row >= 0, table.shape[1], 0))]).astype(np.int32))
             lists.append(pa.ListArray.from_arrays(offsets, pa.array(table.ravel())))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n.astype(np.int64)), pa.array(digests(x, starts), pa.binary()), *lists], names=["doc_id", "n", "node", "bands", "sketch"]
+            [batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), pa.array(digests(x, starts), pa.binary()), *lists],
+            names=["doc_id", "text_hash", "n", "node", "bands", "sketch"],
         )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 4 << 20):
+    for batch in slices(batches, "text"):
         x, starts = shingle_sets(batch.column(0))
         sets = [x[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array(digests(x, starts), pa.binary()), pa.array(sets, pa.binary())], names=["node", "items"])
 
 
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "a_items", 8 << 20):
+    for batch in slices(batches, "a_items"):
         yes = [similar(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(yes)), batch.column(1).filter(pa.array(yes))], names=["u", "v"])
 
@@ -211,10 +211,11 @@ def _sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return scratch.save(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-sets")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, n, root, component_id) of every row; ``root`` names its group, null for an empty set."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sketched = scratch.save(rows.mapInArrow(_sketched, SKETCHED), "near-sketched")
+    sketched = scratch.save(rows.select("doc_id", text_hash(F.col("text")).alias("text_hash"), "text").mapInArrow(_sketched, SKETCHED), "near-sketched")
     nodes = sketched.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = scratch.save(nodes, "near-nodes")
 
@@ -246,10 +247,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     grouped = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = scratch.save(grouped.join(least, "root").select("node", "component_id"), "near-named")
-    out = sketched.select("doc_id", "n", "node").join(named, "node", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named = scratch.save(grouped.join(least, "root").select("node", "root", "component_id"), "near-named")
+    out = sketched.select("doc_id", "text_hash", "n", "node").join(named, "node", "left")
+    return out.select("doc_id", "text_hash", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row."""
+    found = near_groups(docs, id_col, text_col)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` of which one stays of each group, and all whose set is empty.
+
+    Of a group the row with the least id stays, a null id last; then the one whose text
+    has the least hash. Rows of one id and different texts are told apart by their texts.
+    """
+    found = scratch.save(near_groups(docs, id_col, text_col).filter("n > 0"), "near-groups")
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    row = F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "text_hash")
+    best = found.groupBy("root").agg(F.min(row).alias("best")).select("root", F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"))
+    chosen = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))
+    told = scratch.save(rows.join(best, "root").select("doc_id", "text_hash", "copies", chosen.alias("chosen")), "near-told")
+    kept = without_rows(docs, told.filter("NOT chosen"), id_col, text_col)
+    repeated = told.filter("chosen AND copies > 1")
+    if not repeated.head(1):
+        return kept
+    again = F.broadcast(repeated.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))) if repeated.count() <= BROADCAST_ROWS else repeated.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = kept[id_col].cast("long").eqNullSafe(again["_id"]) & (text_hash(kept[text_col]) == again["_hash"])
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    once = kept.join(again, same).groupBy("_id", "_hash").agg(F.min_by(whole, F.xxhash64(*[F.col(c) for c in docs.columns])).alias("_row")).select("_row.*")
+    return without_rows(kept, repeated, id_col, text_col).unionByName(once)
 
 
 def _closed(rows: DataFrame, nodes: DataFrame, sets: DataFrame, left_over: DataFrame) -> DataFrame | None:
@@ -267,3 +296,24 @@ def _closed(rows: DataFrame, nodes: DataFrame, sets: DataFrame, left_over: DataF
 
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Shingles are told apart by their words here, not by hashes. Links between different sets
+#: are closed by taking, again and again, the least id that a linked set has.
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN []
+         WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END)) AS items FROM w),
+g AS (SELECT items, min(doc_id) AS node, len(items) AS n FROM s WHERE len(items) > 0 GROUP BY items),
+x AS (SELECT node, n, unnest(items) AS item FROM g),
+l AS (SELECT a.node AS u, b.node AS v FROM x a JOIN x b ON a.item = b.item AND a.node <> b.node AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)
+      GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r AS (SELECT node, node AS root FROM g UNION SELECT r.node, l.v FROM r JOIN l ON l.u = r.root),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT s.doc_id, CAST(len(s.items) AS BIGINT) AS n_shingles, coalesce(c.component_id, s.doc_id) AS component_id,
+       coalesce(c.component_id, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN g ON g.items = s.items LEFT JOIN c ON c.node = g.node
+"""

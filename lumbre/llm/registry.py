@@ -21,5 +21,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op5_format_preferences": preferences.OP5_SQL,
+    "op7_near_duplicates": near_dedup.OP7_SQL,
     "op10_judge_urls": url_rules.OP10_SQL,
 }

@@ -35,6 +35,28 @@ def id_crc32(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+#: Most rows of a table of keys that is sent out.
+BROADCAST_ROWS = 1_000_000
+
+
+def text_hash(text: Column) -> Column:
+    """64 bits of a text; with the id, what tells a row from rows of other texts. Null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose id and text are in ``gone`` (doc_id, text_hash).
+
+    Null ids are equal here, and texts decide beside ids, so that no row goes for another
+    one's sake. ``gone`` is sent out only if it is few by count.
+    """
+    gone = scratch.save(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct(), "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    same = docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (text_hash(docs[text_col]) == gone["_gone_hash"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Lower this session's limit of an Arrow batch to BATCH_BYTES, if it is higher.
 

@@ -130,3 +130,15 @@ def test_null_id_yields_to_an_id(spark):
 def test_copies_of_one_text(spark):
     got = nd.near_duplicates(spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("one and the same text here").alias("text")))
     assert got.filter("kept").count() == 1 and got.select("component_id").distinct().count() == 1
+
+
+def test_one_of_each_decides_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    near = a.replace("a0 ", "z ")
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "x"), (2, near, "x"), (None, near, "y"), (None, c, "y"), (None, c, "z"), (3, "", "x"), (3, None, "x"), (4, c + " more", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, copies string")
+    got = sorted(nd.one_of_each(docs).collect(), key=str)
+    assert [tuple(r) for r in got] == sorted([(1, a, "x"), (1, b, "x"), (3, "", "x"), (3, None, "x"), (4, c + " more", "x")], key=lambda r: str(spark.createDataFrame([r], docs.schema).first()))
+    alone = docs.filter("doc_id IS NULL")
+    assert sorted(r["text"] for r in nd.one_of_each(alone).collect()) == sorted([near, c])
+    assert nd.one_of_each(docs.limit(0)).columns == docs.columns
