@@ -11,10 +11,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def step(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete all that is written to scratch inside the block, but for the folders whose
+    paths are put into the list: for steps whose result is itself written."""
+    made, keep = [], []
+    token = _made.set(made)
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        outer = _made.get()
+        for path in made:
+            if path not in keep:
+                remove(spark, path)
+            elif outer is not None:
+                outer.append(path)
+
+
 def root(spark: SparkSession) -> str:
     """The shared folder; one is made only on a local master that names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,6 +56,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return path
 
 
@@ -44,6 +70,11 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def path_of(df: DataFrame) -> str:
+    """Where ``save`` wrote what it returned."""
+    return df._scratch
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``save`` wrote for ``df``, once nothing reads it any more."""
     path = getattr(df, "_scratch", None)
