@@ -77,7 +77,15 @@ def test_messy_documents(spark, messy, sf_dir):
     assert at.count() > 0
 
 
-def test_repeated_rows_are_one_document(spark, sf_dir):
-    text = " ".join(f"w{i}" for i in range(20))
-    docs = spark.createDataFrame([(1, text, "en", "a", 1), (1, text, "en", "a", 1), (2, text, "en", "a", 1), (3, "other words", "en", "a", 1)], "doc_id long, text string, lang string, source string, n_chars long")
-    assert sorted(r["doc_id"] for r in cp.drop_near_duplicates(spark, docs, sf_dir).collect()) == [1, 3]
+def test_rows_are_told_apart_by_id_and_text(spark, sf_dir):
+    """No distinct text is lost to an id that it shares, and null ids are judged like others."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first()["text"]
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    near = b.replace("b0 ", "")
+    rows = [(1, a), (1, a), (1, b), (2, a), (None, near), (None, c), (None, item), (3, item), (3, "clean words of number three")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], schema)
+    once = cp.drop_near_duplicates(spark, docs, sf_dir)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in once.collect()) == sorted([(1, a), (1, b), (0, c), (3, item), (3, "clean words of number three")])
+    left = cp.drop_benchmark(spark, docs, sf_dir)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == sorted((i or 0, t) for i, t in rows if t != item)
