@@ -7,8 +7,9 @@
     shard          every row gets its shard and its slot
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of ``docs``,
-the last one with ``shard`` and ``slot`` besides. Documents are told apart by doc_id;
-rows without one are kept by the two stages that drop by id.
+the last one with ``shard`` and ``slot`` besides. All stages decide by row: rows that share
+an id, or have none, are told apart by their texts, so that no text goes with another one's
+id, and null ids are judged like all others. Of rows of equal id and text one stays.
 """
 
 from __future__ import annotations
@@ -23,13 +24,6 @@ from lumbre.llm import decontamination, language_id, mixing, near_dedup, shardin
 
 #: A text counts as written in some language from this many times the probability of a guess.
 OVER_CHANCE = 1.2
-BROADCAST_ROWS = 1_000_000
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id is not among ``ids``, which are sent out only if few by count."""
-    ids = scratch.save(ids.select("doc_id").distinct(), "dropped-ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(*docs.columns)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,18 +34,11 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = scratch.save(near_dedup.near_duplicates(docs), "pipeline-near")
-    kept = _without(docs, found.filter(~F.col("kept")))
-    repeated = scratch.save(found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
-    if not repeated.head(1):
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return _without(kept, repeated).unionByName(once)
+    return near_dedup.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontamination.find_leaks(docs, benchmark))
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,9 +63,14 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch.step(spark) as keep:  # what a stage has written for itself goes when its result is written
+            now = scratch.save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            keep.append(scratch.path_of(now))
+        if before is not None:
+            scratch.discard(before)
+        docs = before = now
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
