@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,21 +51,76 @@ def test_documents(spark, sf_dir):
     assert held and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_rare_words_meet_their_counts_in_the_join(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(lm, "FREQUENT", 60)
+def test_rare_words_meet_their_counts_in_the_join(spark, sf_dir):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == 0
-    model, tail = lm.train(frame.filter(~fold))
-    assert len(model.units.h) <= 60 and tail.count() > 100
+    model, tail = lm.train(frame.filter(~fold), frequent=60, core=20)
+    assert len(model.words) <= 60 and tail.count() > 100
+    taught = {w for i, t in docs if not is_held(i) for w in words(t)}
+    assert len(model.words) + tail.count() == len(taught)  # every word has a class, and one count
+    assert (model.states[:-1] < lm.CLASSES).all() and (model.states[:-1] > 0).all()
+    assert tail.filter("cls IS NULL OR cls < 1 OR cls > 63").count() == 0
     same(lm.score(frame, model, tail, fold).collect(), base(docs, is_held))
 
 
+def test_scores_by_brute_force(spark, sf_dir):
+    """Counts of class bigrams, and every text's score, from the words' classes alone."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(80).collect()]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    taught = [(i, t) for i, t in docs if i % 4]
+    model, tail = lm.train(frame.filter("doc_id % 4 != 0"), frequent=300, core=100)
+    h = lambda w: int(lm._hashes(pa.array([w]))[0])
+    beyond = {r["h"]: r["cls"] for r in tail.collect()}
+    everything = collections.Counter(w for _, t in taught for w in words(t))
+    number = {w: int(model.words.look_up(np.array([h(w)]))[0]) for _, t in docs for w in words(t)}
+    cls = {w: int(model.states[k]) if k >= 0 else beyond[h(w)] for w, k in number.items() if w in everything}
+    state = lambda w: 0 if w is None else int(model.states[number[w]])
+    n = np.zeros((65, 64))
+    for _, t in taught:
+        before = None
+        for w in [*words(t), None]:
+            n[state(before), cls[w] if w else 0] += 1
+            before = w
+    into = n.sum(axis=0)
+    share = (into + 0.5) / (into + 0.5).sum()
+    pull = np.maximum((n > 0).sum(axis=1, keepdims=True), 1)
+    p = (n + pull * share) / (n.sum(axis=1, keepdims=True) + pull)
+    whole = sum(everything.values()) + len(taught)
+    whole += 0.1 * (len(everything) + 2)
+    size = np.bincount(list(cls.values()), minlength=64)
+    spare = 1 + int(size[1:].argmax())
+    got = {r["doc_id"]: r["score"] for r in lm.score(frame, model, tail, F.lit(False)).collect()}
+    for i, t in docs:
+        total, before = 0.0, None
+        for w in [*words(t), None]:
+            c = 0 if w is None else cls.get(w, spare)
+            alone = (everything[w] if w is not None else len(taught)) + 0.1
+            given = 1 if w is None else alone / (into[c] + 0.1 * (size[c] + 1))
+            total += math.log10(0.8 * p[state(before), c] * given + 0.2 * alone / whole)
+            before = w
+        assert abs(got[i] - total) < 1e-6 * (1 + abs(total))
+
+
+def test_words_beyond_the_core_are_exchanged_by_their_own_bigrams(spark):
+    rng = np.random.default_rng(1)
+    kinds = {k: [f"{k}{i}" for i in range(150)] for k in "abc"}  # kinds of words that follow each other in turn
+    docs = [(j, " ".join(str(rng.choice(kinds[k])) for _ in range(30) for k in "abc")) for j in range(400)]
+    model, tail = lm.train(spark.createDataFrame(docs, "doc_id long, text string"), frequent=300, core=150)
+    number = lambda w: int(model.words.look_up(lm._hashes(pa.array([w])))[0])
+    beyond = {r["h"]: r["cls"] for r in tail.collect()}
+    cls = {w: int(model.states[number(w)]) if number(w) >= 0 else beyond[int(lm._hashes(pa.array([w]))[0])] for k in "abc" for w in kinds[k]}
+    owners = collections.defaultdict(collections.Counter)
+    for w, c in cls.items():
+        owners[c][w[0]] += 1
+    assert sum(max(x.values()) for x in owners.values()) >= 0.9 * len(cls)  # classes hold one kind each
+
+
 def test_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "b a. a"), (3, "c c d")], "doc_id long, text string")
     model, tail = lm.train(docs)
     vocabulary = ["a", "b", "c", "d", "a."]
-    assert np.allclose((10**model.step).sum(axis=1), 1)
+    assert np.allclose(model.step.sum(axis=1), 1)
     probes = spark.createDataFrame([(i, w) for i, w in enumerate(vocabulary)], "doc_id long, text string")
     scores = {r["doc_id"]: r["score"] for r in lm.score(probes, model, tail, F.lit(False)).collect()}
     # P(word, end) summed over the words is what the path of ends leaves them, unseen words aside.
@@ -91,6 +147,11 @@ def test_exchange_finds_classes_and_gains_likelihood():
 
     start = np.array([0, *(1 + np.arange(40) // 20)])
     assert likelihood(owner) > likelihood(start)
+    for u in range(1, 41):  # no move is left that gains
+        for c in (1, 2):
+            other = owner.copy()
+            other[u] = c
+            assert likelihood(other) <= likelihood(owner) + 1e-6
 
 
 def test_messy(messy, nothing):
