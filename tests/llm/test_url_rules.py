@@ -1,5 +1,7 @@
 import re
+import time
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -12,9 +14,13 @@ def as_regex(glob):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text("ab/.*?", max_size=12).filter(lambda g: "***" not in g), min_size=1, max_size=20), st.lists(st.text("ab/.", max_size=14), min_size=1, max_size=8))
+@given(st.lists(st.text("aé/.*?\U0001f600", max_size=12).filter(lambda g: "***" not in g), min_size=1, max_size=20), st.lists(st.text("aé/.\U0001f600", max_size=14), min_size=1, max_size=8))
 def test_automaton_equals_regex(globs, urls):
-    got = u.GlobAutomaton(globs).match([x.encode() for x in urls])
+    automaton = u.GlobAutomaton(globs)
+    got = automaton.match([x.encode() for x in urls])
+    for i, x in enumerate(urls):  # alone, on long integers
+        state = automaton.match_alone(x.encode())
+        assert [bool(state[b // 64] >> np.uint64(b % 64) & np.uint64(1)) for b in automaton.end_bits] == got[i].tolist()
     for i, x in enumerate(urls):
         for k, g in enumerate(globs):
             assert bool(got[i, k]) == bool(re.fullmatch(as_regex(g), x, re.S)), (g, x)
@@ -47,6 +53,9 @@ def test_verdicts():
         None: ("", "", None, "allow"),
         "a://b://c/d": ("b:", "//c/d", None, "allow"),
         "http://a.com/" + "x" * 50_000: ("a.com", "/" + "x" * 50_000, "com/", "allow"),
+        "http://x.org/a.com\0/b": ("x.org", "/a.com\0/b", None, "allow"),
+        "http://x.org/spam.": ("x.org", "/spam.", None, "allow"),
+        "http://x.org/a/wp-login.php": ("x.org", "/a/wp-login.php", None, "block"),
     }
     assert list(zip(*judge.judge(list(cases)))) == list(cases.values())
 
@@ -56,3 +65,23 @@ def test_messy(spark):
     got = u.judge_urls(spark.createDataFrame(rows, "page_id long, url string, host string")).collect()
     assert [(r["page_id"], r["host"], r["verdict"]) for r in got] == [(1, "a.com", "allow"), (1, "a.com", "allow"), (None, "", "allow")]
     assert u.judge_urls(spark.createDataFrame([], "url string")).count() == 0
+
+
+def test_many_rules_from_a_table(spark):
+    rows = [(f"Site{i}.example", "/a/" if i % 2 else None, "block" if i % 3 else "allow", None) for i in range(10_000)]
+    table = spark.createDataFrame([*rows, (None, None, None, "**junk**"), (None, "/x", "block", None), ("y.org", "/", None, None)], "host string, path string, verdict string, glob string")
+    sites, globs = u.read_rules(table)
+    assert len(sites) == 10_000 and globs == ("**junk**",)
+    judge = u.UrlJudge(sites, globs)
+    urls = ["http://www.site9999.example/a/b", "http://site3.example/a/b", "http://site4.example/x", "http://site5.example/b", "http://z/junk", "http://z/"]
+    assert judge.judge(urls)[2:] == (["site9999.example/a/", "site3.example/a/", "site4.example/", None, None, None], ["allow", "allow", "block", "allow", "block", "allow"])
+
+
+def test_a_very_long_url_costs_little():
+    judge, began = u.UrlJudge(), time.time()
+    assert judge.judge(["http://a.net/fr/" + "ã" * 500_000, "http://b.com/"])[3] == ["block", "allow"]
+    assert time.time() - began < 10
+
+
+def test_one_character_is_not_one_byte():
+    assert u.GlobAutomaton(["a?c", "a??c", "?"]).match(["aéc".encode(), "a\U0001f600c".encode(), "é".encode(), b"/"]).tolist() == [[True, False, False], [True, False, False], [False, False, True], [False, False, False]]
