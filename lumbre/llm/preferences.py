@@ -9,7 +9,7 @@ are N characters to learn from (an assistant's words and the mark that ends its
 Defined results
     null text             the empty text
     null role             the role ``unknown``, never learned from
-    null conversation id  one conversation of its own
+    null conversation id  each turn is a conversation of its own, without a partner
     repeated rows         kept as turns, ordered by turn, role and text
     equal conversations   everything is prompt; both completions and masks are empty
     no common turn        the prompt is empty
@@ -26,14 +26,20 @@ from pyspark.sql import functions as F
 END = "<|end|>\n"
 
 
+def _turn(turn_col: str, role_col: str, text_col: str) -> Column:
+    return F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
+def _alone(id_col: str) -> Column:
+    """What keeps turns without an id apart: their own number, null for all others."""
+    return F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+
+
 def conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, turns): the turns of each conversation as an array of (role, text)."""
-    turn = F.struct(
-        F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
-    sorted_turns = F.array_sort(F.collect_list(turn))
+    sorted_turns = F.array_sort(F.collect_list(_turn(turn_col, role_col, text_col)))
     pairs = F.transform(sorted_turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return turns.groupBy(F.col(id_col).alias("conv_id")).agg(pairs.alias("turns"))
+    return turns.groupBy(F.col(id_col).alias("conv_id"), _alone(id_col).alias("_alone")).agg(pairs.alias("turns")).drop("_alone")
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -81,17 +87,26 @@ def answer_pairs(turns: DataFrame) -> DataFrame:
     and 2k + 1 are partners). Without a partner's answer the turn is left out of the
     rejected conversation; without an own answer both are the conversation as it is.
     """
-    own = conversations(turns)
-    answers = F.filter(F.sequence(F.lit(0), F.greatest(F.size("turns") - 1, F.lit(0))), lambda i: F.get(F.col("turns"), i)["role"] == "assistant")
-    own = own.withColumn("last", F.array_max(answers))
-    given = own.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("partner"), F.get(F.col("turns"), F.col("last"))["text"].alias("other"))
-    both = own.join(given, own["conv_id"] == given["partner"], "left")
+    side = F.col("conv_id").bitwiseAND(F.lit(1))
+    keyed = turns.select(F.shiftright("conv_id", 1).alias("pair"), _alone("conv_id").alias("alone"), F.coalesce(side, F.lit(0).cast("long")).alias("side"), "conv_id", _turn("turn", "role", "text").alias("t"))
+    # Partners meet in one group, so that one shuffle does.
+    both = keyed.groupBy("pair", "alone").agg(*[F.array_sort(F.collect_list(F.when(F.col("side") == i, F.col("t")))).alias(f"turns{i}") for i in (0, 1)], *[F.max(F.when(F.col("side") == i, F.col("conv_id"))).alias(f"id{i}") for i in (0, 1)])
+
+    def answer(c: str) -> Column:
+        found = F.filter(F.sequence(F.lit(0), F.greatest(F.size(c) - 1, F.lit(0))), lambda i: F.get(F.col(c), i)["role"] == "assistant")
+        return F.array_max(found)
+
+    plain = lambda c: F.transform(c, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    both = both.select("id0", "id1", plain("turns0").alias("turns0"), plain("turns1").alias("turns1"))
+    both = both.withColumns({f"last{i}": answer(f"turns{i}") for i in (0, 1)})
+    sides = [F.struct(F.col(f"id{i}").alias("conv_id"), F.col(f"turns{i}").alias("turns"), F.col(f"last{i}").alias("last"), F.get(F.col(f"turns{1 - i}"), F.col(f"last{1 - i}"))["text"].alias("other")) for i in (0, 1)]
+    each = both.select(F.explode(F.array(*sides)).alias("c")).select("c.*").filter(F.size("turns") > 0)
     swapped = F.transform(
         "turns", lambda t, i: F.when(i == F.col("last"), F.struct(t["role"].alias("role"), F.col("other").alias("text"))).otherwise(t)
     )
     cut = F.filter("turns", lambda t, i: i != F.col("last"))
     rejected = F.when(F.col("last").isNull(), F.col("turns")).when(F.col("other").isNull(), cut).otherwise(swapped)
-    return both.select("conv_id", F.col("turns").alias("chosen"), rejected.alias("rejected"))
+    return each.select("conv_id", F.col("turns").alias("chosen"), rejected.alias("rejected"))
 
 
 def op5_format_preferences(spark, sf_dir: str) -> DataFrame:
@@ -100,8 +115,8 @@ def op5_format_preferences(spark, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
-c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id),
+WITH t AS (SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id, alone),
 l AS (SELECT conv_id, turns, list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')) AS last FROM c),
 p AS (SELECT l.conv_id, l.turns AS chosen, l.last, o.turns[o.last].text AS other
       FROM l LEFT JOIN l o ON o.conv_id = xor(l.conv_id, 1)),

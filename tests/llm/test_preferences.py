@@ -54,7 +54,15 @@ def test_pairs_by_brute_force(spark, sf_dir):
 def test_messy(spark):
     rows = [(0, 0, "user", None, "x"), (0, 1, None, "who", "x"), (0, 1, None, "who", "x"), (1, None, "assistant", "", "x"), (None, 0, "user", "q", "x"), (None, 1, "assistant", "a" * 100_000, "x")]
     turns = spark.createDataFrame(rows, TURNS)
-    assert {r["conv_id"]: len(r["turns"]) for r in conversations(turns).collect()} == {0: 3, 1: 1, None: 2}
-    got = {r["conv_id"]: r for r in format_preferences(answer_pairs(turns), "conv_id").collect()}
-    assert "<|unknown|>" in got[0]["prompt"] and got[None]["rejected"] == "" and len(got) == 3
+    assert sorted((r["conv_id"] is None, r["conv_id"], len(r["turns"])) for r in conversations(turns).collect()) == [(False, 0, 3), (False, 1, 1), (True, None, 1), (True, None, 1)]
+    got = format_preferences(answer_pairs(turns), "conv_id").collect()
+    by = {r["conv_id"]: r for r in got}
+    assert "<|unknown|>" in by[0]["prompt"] and len(got) == 4
+    alone = sorted((len(r["prompt"]), len(r["chosen"]), r["rejected"]) for r in got if r["conv_id"] is None)
+    assert [r[2] for r in alone] == ["", ""] and alone[0][1] > 100_000 and alone[1][1] == 0  # an answer without a partner, and a question
     assert format_preferences(answer_pairs(turns.limit(0)), "conv_id").count() == 0
+
+
+def test_one_shuffle(spark, sf_dir):
+    plan = format_preferences(answer_pairs(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "conv_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
