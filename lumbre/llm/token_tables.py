@@ -20,7 +20,9 @@ file and any store that Spark can write to will do.
 
 Defined results
     null text         encoded as the empty text: only the end id
-    null id           first; null ids and repeated ids keep an entry each
+    null id           first; null ids and repeated ids keep an entry each, in order of a
+                      hash of their texts
+    ids beyond width  an error: ``width`` follows from the vocabulary unless it is given
     very long texts   one entry, held in memory once
     empty table       no file, no rows
     clashing names    only the id and text columns are read
@@ -28,6 +30,7 @@ Defined results
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -43,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumbre import scratch
-from lumbre.llm.words import slices, split_words
+from lumbre.llm.words import slices, small_batches, split_words
 
 MAGIC = b"LUMSST1\n"
 FOOTER = struct.Struct("<7Q2I8s")
@@ -99,6 +102,8 @@ class TableWriter:
         self.last = b""
 
     def add(self, key: bytes, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) >= 1 << 8 * self.width:
+            raise ValueError(f"an id of {int(ids.max())} does not fit {self.width} bytes")
         shared = 0
         if self.block:
             for x, y in zip(key, self.last, strict=False):
@@ -199,11 +204,32 @@ _ONE = r"^(?:[a-zß-öø-ÿāăąćčďđēęěğģīįķļłńňŋōőœřśş
 _BEFORE_STOP = r"([a-zß-öø-ÿ0-9])([.,])"
 
 
+def _depends(kinds: dict) -> str | None:
+    """What in a tokenizer could make a word's ids depend on its neighbours, or None.
+
+    Normalisers must work within a word, white space apart; the text must be split at white
+    space before the model, and no space be put before a word.
+    """
+    parts = lambda x, inner: x.get(inner, [x]) if x else []
+    for x in parts(kinds["normalizer"], "normalizers"):
+        if x["type"] not in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents") and not (x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " "):
+            return f"normaliser {x['type']}"
+    split = False
+    for x in parts(kinds["pre_tokenizer"], "pretokenizers"):
+        if x["type"] in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer") or x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"] and r"[^\s" in x["pattern"].get("Regex", ""):
+            split = True
+        elif not (x["type"] in ("Punctuation", "Digits") or x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"]):
+            return f"pre-tokenizer {x['type']}"
+    return None if split and kinds["model"]["type"] == "BPE" else "pre-tokenizer or model"
+
+
 class WordEncoder:
     """Encodes texts word by word, each distinct word once while it is remembered.
 
-    For tokenizers that lower-case, never join text across white space and end each
-    pre-token with an id that ends a word. Full stops and commas are split off first,
+    Its ids are those of the whole text: each is what the tokenizer gives for that word, and
+    a tokenizer for which words could depend on each other is refused. It must lower-case in
+    its normaliser, split at white space and punctuation before its model, and end each
+    pre-token with an id that ends a word; and a probe must come out alike. Full stops and commas are split off first,
     where the pre-tokenizer would split anyway. Plain words are encoded many in one
     string, and cut apart at the ids that end a word; other words one by one.
     """
@@ -214,6 +240,8 @@ class WordEncoder:
 
         self.tokenizer, self.remember = Tokenizer.from_file(path), remember
         vocabulary = self.tokenizer.get_vocab()
+        if why := _depends(json.loads(self.tokenizer.to_str())):
+            raise ValueError(f"this tokenizer's {why} may join words; encode whole texts instead")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         whole = self.tokenizer.encode("Aa bb,\n c.", add_special_tokens=False).ids
@@ -298,17 +326,31 @@ def write_tables(
     path: str,
     tokenizer: str,
     end_id: int,
-    width: int = 2,
+    width: int | None = None,
     file_ids: int = 4 << 20,
     partition_bytes: int = 24 << 20,
+    most_partitions: int = 1 << 15,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> None:
-    """Encode ``docs`` and write table files below ``path``; ``width``: bytes an id."""
+    """Encode ``docs`` and write table files below ``path``.
+
+    ``width``: bytes an id, 2 or 4, by default as the vocabulary needs. A partition is read
+    a batch at a time and only the open file is held, so that partitions may grow once
+    there are ``most_partitions`` of them; ``file_ids`` ids fill a file.
+    """
+    from tokenizers import Tokenizer
+
+    if width is None:
+        width = 2 if max(end_id, *Tokenizer.from_file(tokenizer).get_vocab().values()) < 1 << 16 else 4
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
-    parts = max(1, -(-int(total) // partition_bytes))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    parts = min(most_partitions, max(1, -(-int(total) // partition_bytes)))
+    # Rows of one id are dealt by their texts, rows of one id and text by a number: no id is too hot for a range.
+    keyed = rows.withColumns({"_hash": F.xxhash64("text"), "_number": F.monotonically_increasing_id()})
+    order = [F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_number")]
+    ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     tables = ordered.mapInArrow(_tables(tokenizer, end_id, file_ids, width), "table binary")
     tables.select(F.col("table").cast("string")).write.option("maxRecordsPerFile", 1).option("lineSep", MAGIC[-1:].decode()).text(path)
 
@@ -336,6 +378,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id"))
     last = F.max(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id"))
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"), first.alias("first"), last.alias("last"))
+    # Files are written in order of their partition and of their place in it, and named so.
     earlier = Window.orderBy("first", "last", "file").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     starts = scratch.save(starts.coalesce(1), "token-starts")

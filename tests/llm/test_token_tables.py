@@ -83,3 +83,37 @@ def test_messy(spark, messy, nothing, tokenizer, tmp_path):
     assert [r["start"] for r in got] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in got])])[:-1].tolist()
     tt.write_tables(nothing, f"file://{tmp_path}/e", PATH, 2)
     assert tt.read_digests(spark, f"file://{tmp_path}/e").count() == 0
+
+
+def test_width(spark, tmp_path):
+    writer = tt.TableWriter(2)
+    with pytest.raises(ValueError):
+        writer.add(tt.pack_key(1), np.array([70_000]))
+    wide = tt.TableWriter(4)
+    wide.add(tt.pack_key(1), np.array([70_000]))
+    assert [x.tolist() for x in tt.TableReader(wide.finish()).get(1)] == [[70_000]]
+    docs = spark.createDataFrame([(1, "a word")], "doc_id long, text string")
+    tt.write_tables(docs, f"file://{tmp_path}/w", PATH, 70_000)
+    (raw,) = [p.read_bytes() for p in (tmp_path / "w").glob("part-*") if p.stat().st_size]
+    reader = tt.TableReader(raw)
+    assert reader.width == 4 and reader.get(1)[0][-1] == 70_000
+
+
+def test_tokenizers_that_join_words_are_refused():
+    import json
+
+    kinds = json.loads(Tokenizer.from_file(PATH).to_str())
+    assert tt._depends(kinds) is None
+    assert tt._depends(kinds | {"pre_tokenizer": None}) and tt._depends(kinds | {"normalizer": {"type": "Prepend", "prepend": "_"}})
+    assert tt._depends(kinds | {"pre_tokenizer": {"type": "Metaspace"}}) and tt._depends(kinds | {"model": {"type": "Unigram"}})
+
+
+def test_a_hot_id_fills_many_partitions(spark, tmp_path):
+    rows = [(5, f"text number {i}") for i in range(300)] + [(5, "same text") for _ in range(300)] + [(4, "before"), (6, "after")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tt.write_tables(docs, f"file://{tmp_path}/h", PATH, 2, partition_bytes=1000)
+    files = [p for p in (tmp_path / "h").glob("part-*") if p.stat().st_size]
+    assert len(files) > 4
+    got = sorted(tt.read_digests(spark, f"file://{tmp_path}/h").collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [4] + [5] * 600 + [6]
+    assert [r["start"] for r in got] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in got])])[:-1].tolist()
