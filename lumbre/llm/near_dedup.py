@@ -3,7 +3,7 @@
 1.  One pass over the texts: each document's set of 5-word shingles as 64-bit hashes,
     its digest, ``HASHES`` MinHash values, their band keys and their odd sketch (the
     parity of MinHash samples hashed into ``SKETCH_BITS`` bits).
-2.  Documents of equal sets are one node.
+2.  Documents of equal sets are one node, known by a number.
 3.  Nodes that share a band key are candidates. Each is first held against the smallest
     node of its bucket: a star, not all pairs. A pair goes on if the sizes allow 0.75 and
     the population count of the XOR of the sketches does not rule it out, and is then
@@ -135,7 +135,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (len(a) + len(b) - shared)
 
 
-SKETCHED = "doc_id long, text_hash long, n long, node binary, bands array<long>, sketch array<long>"
+SKETCHED = "doc_id long, text_hash long, n long, digest binary, bands array<long>, sketch array<long>"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists.append(pa.ListArray.from_arrays(offsets, pa.array(table.ravel())))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), pa.array(digests(x, starts), pa.binary()), *lists],
-            names=["doc_id", "text_hash", "n", "node", "bands", "sketch"],
+            names=["doc_id", "text_hash", "n", "digest", "bands", "sketch"],
         )
 
 
@@ -158,7 +158,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         x, starts = shingle_sets(batch.column(0))
         sets = [x[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(digests(x, starts), pa.binary()), pa.array(sets, pa.binary())], names=["node", "items"])
+        yield pa.RecordBatch.from_arrays([pa.array(digests(x, starts), pa.binary()), pa.array(sets, pa.binary())], names=["digest", "items"])
 
 
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +185,7 @@ def _joined_up(table: pa.Table) -> pa.Table:
                 u.append(nodes[i])
                 v.append(nodes[j])
                 group[group == group[j]] = group[i]
-    return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
 def _with_small(df: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -202,13 +202,13 @@ def _bits(a: str, b: str) -> Column:
 
 def _sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, items) of the wanted nodes, from the text of one document each."""
-    ids = nodes.join(wanted, "node", "left_semi").select("doc_id").distinct()
-    ids = scratch.save(ids, "near-ids")
-    texts = _with_small(rows.filter("doc_id IS NOT NULL"), ids.filter("doc_id IS NOT NULL"), "doc_id", "left_semi")
+    few = scratch.save(nodes.join(wanted, "node", "left_semi").select("node", "digest", "doc_id"), "near-ids")
+    ids = few.filter("doc_id IS NOT NULL").select("doc_id").distinct()
+    texts = _with_small(rows.filter("doc_id IS NOT NULL"), ids, "doc_id", "left_semi")
     # Nodes whose documents all lack an id are found again by their digest alone.
-    lacking = rows.filter("doc_id IS NULL") if ids.filter("doc_id IS NULL").head(1) else rows.limit(0)
-    found = texts.union(lacking).select("text").mapInArrow(_sets, "node binary, items binary").filter("node IS NOT NULL")
-    return scratch.save(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-sets")
+    lacking = rows.filter("doc_id IS NULL") if few.filter("doc_id IS NULL").head(1) else rows.limit(0)
+    found = texts.union(lacking).select("text").mapInArrow(_sets, "digest binary, items binary").filter("digest IS NOT NULL")
+    return scratch.save(found.join(few.select("node", "digest"), "digest").select("node", "items").dropDuplicates(["node"]), "near-sets")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,8 +216,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sketched = scratch.save(rows.select("doc_id", text_hash(F.col("text")).alias("text_hash"), "text").mapInArrow(_sketched, SKETCHED), "near-sketched")
-    nodes = sketched.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    nodes = scratch.save(nodes, "near-nodes")
+    nodes = sketched.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
 
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).filter("members > 1")
@@ -232,7 +232,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     left = sets.select("node", F.col("items").alias("a_items"))
     right = sets.select(F.col("node").alias("leader"), F.col("items").alias("b_items"))
     pairs = likely.join(left, "node").join(right, "leader").select("node", "leader", "a_items", "b_items")
-    links = scratch.save(pairs.mapInArrow(_decided, "u binary, v binary"), "near-links")
+    links = scratch.save(pairs.mapInArrow(_decided, "u long, v long"), "near-links")
     roots = scratch.save(connected_components(links), "near-roots")
 
     # Buckets that the stars have left in more than one component; equal buckets once.
@@ -245,10 +245,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if more is not None:
         roots = scratch.save(connected_components(links.union(more)), "near-roots")
 
-    grouped = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = nodes.select("node", "digest", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = scratch.save(grouped.join(least, "root").select("node", "root", "component_id"), "near-named")
-    out = sketched.select("doc_id", "text_hash", "n", "node").join(named, "node", "left")
+    named = scratch.save(grouped.join(least, "root").select("digest", "root", "component_id"), "near-named")
+    out = sketched.select("doc_id", "text_hash", "n", "digest").join(named, "digest", "left")
     return out.select("doc_id", "text_hash", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -291,7 +291,7 @@ def _closed(rows: DataFrame, nodes: DataFrame, sets: DataFrame, left_over: DataF
     pair = F.transform(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")), lambda i: F.struct(F.least(i, block).alias("i"), F.greatest(i, block).alias("j")))
     dealt = left_over.withColumn("pair", F.explode(pair)).select("key", "pair", "node", "root")
     full = dealt.join(nodes.select("node", "n", "sketch"), "node").join(all_sets, "node")
-    return scratch.save(full.groupBy("key", "pair").applyInArrow(_joined_up, "u binary, v binary"), "near-more")
+    return scratch.save(full.groupBy("key", "pair").applyInArrow(_joined_up, "u long, v long"), "near-more")
 
 
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
