@@ -15,11 +15,13 @@ def retryable(status: Column, code: Column) -> Column:
 
 
 def retry_after_ms(header: Column, now: Column) -> Column:
-    """Milliseconds to wait by a header of seconds or of an HTTP date; null for other text."""
-    seconds = F.trim(header).try_cast("double")
-    at = F.try_to_timestamp(F.regexp_extract(header, r"(\d{2} \w{3} \d{4} \d{2}:\d{2}:\d{2})", 1), F.lit("dd MMM yyyy HH:mm:ss"))
-    dated = F.unix_millis(at) - F.unix_millis(now)
-    return F.greatest(F.when(seconds.isNotNull(), F.floor(seconds * 1000).cast("long")).otherwise(dated), F.when(header.isNotNull() & (seconds.isNotNull() | at.isNotNull()), F.lit(0).cast("long")))
+    """Milliseconds to wait by a header of whole seconds or of an HTTP date, which is in GMT
+    whatever the session's zone; null for other text, 0 for a date that has passed."""
+    seconds = F.when(F.trim(header).rlike(r"^\d+$"), F.trim(header).try_cast("long"))
+    date = F.nullif(F.regexp_extract(header, r"(\d{2} \w{3} \d{4} \d{2}:\d{2}:\d{2})", 1), F.lit(""))
+    at = F.try_to_timestamp(F.concat(date, F.lit(" +0000")), F.lit("dd MMM yyyy HH:mm:ss Z"))
+    dated = F.greatest(F.unix_millis(at) - F.unix_millis(now), F.lit(0).cast("long"))
+    return F.coalesce(seconds * 1000, F.when(at.isNotNull(), dated))
 
 
 def backoff_window(attempt: Column, base: int = 2000, cap: int = 120_000) -> Column:

@@ -158,12 +158,39 @@ def sequence_text(index: Column) -> Column:
     return F.lpad(n, F.greatest(F.length(n), F.lit(4)), F.lit("0"))
 
 
+#: Single-byte charsets by the labels that headers use; the first is Python's name.
+SINGLE_BYTE = tuple(
+    [(f"iso8859-{i}", f"iso-8859-{i}", f"iso_8859-{i}", f"latin{n}") for i, n in ((2, 2), (3, 3), (4, 4), (9, 5), (10, 6), (13, 7), (14, 8), (15, 9), (16, 10))]
+    + [(f"iso8859-{i}", f"iso-8859-{i}", f"iso_8859-{i}") for i in (5, 6, 7, 8)]
+    + [(f"cp125{i}", f"windows-125{i}", f"x-cp125{i}") for i in range(9)]
+    + [("koi8-r", "koi8r"), ("koi8-u", "koi8u"), ("mac-roman", "macintosh", "x-mac-roman"), ("cp437", "ibm437"), ("cp850", "ibm850")]
+)
+_UTF = {"UTF-16": ("utf-16", "utf16"), "UTF-16LE": ("utf-16le",), "UTF-16BE": ("utf-16be",), "UTF-32": ("utf-32", "utf32"), "US-ASCII": ("us-ascii", "ascii")}
+
+
+@cache
+def _high_half(codec: str) -> tuple[str, str]:
+    """The upper 128 characters of ISO-8859-1, and what a charset has there."""
+    pairs = [(chr(i), bytes([i]).decode(codec, "replace")) for i in range(128, 256)]
+    pairs = [(a, b) for a, b in pairs if a != b and len(b) == 1]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def decode_body(body: Column, content_type: Column) -> Column:
-    """Text of a body by the charset its header names; UTF-8 where none or an unknown one is."""
+    """Text of a body by the charset its header names; UTF-8 where none or an unknown one is.
+
+    All in the JVM: single-byte charsets are ISO-8859-1 with their upper half exchanged.
+    Multi-byte charsets other than the Unicode ones count as unknown.
+    """
     charset = F.lower(F.regexp_extract(content_type, r"(?i)charset\s*=\s*[\"']?([^\s;\"']+)", 1))
-    latin = charset.isin("iso-8859-1", "latin1", "iso8859-1", "l1", "windows-1252", "cp1252")
-    utf16 = charset.isin("utf-16", "utf16")
-    return F.when(latin, F.decode(body, "ISO-8859-1")).when(utf16, F.decode(body, "UTF-16")).otherwise(F.make_valid_utf8(body.cast("string")))
+    latin = F.decode(body, "ISO-8859-1")
+    out = F.when(charset.isin("iso-8859-1", "iso8859-1", "iso_8859-1", "latin1", "l1"), latin)
+    for codec, *labels in SINGLE_BYTE:
+        out = out.when(charset.isin(codec, *labels), F.translate(latin, *_high_half(codec)))
+    for name, labels in _UTF.items():
+        here = charset.isin(*labels)
+        out = out.when(here, F.decode(F.when(here, body), name))
+    return out.otherwise(F.make_valid_utf8(body.cast("string")))
 
 
 def repair_latin1(c: Column) -> Column:

@@ -39,12 +39,28 @@ def bare(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", text) if not 0x300 <= ord(c) <= 0x36F)
 
 
+def _decoded(raw: bytes, otherwise: str) -> str:
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return otherwise
+
+
+def absolute(base: str, path: str) -> str | None:
+    """A path on the base's host as a full url; null where it is no url at all."""
+    try:
+        return urljoin(base, path)
+    except ValueError:
+        return None
+
+
 def url_value(url: str, name: str) -> str | None:
-    """A query parameter's first value: bytes are UTF-8, or ISO-8859-1 where they are not."""
+    """A query parameter's first value, as ``text.query_param`` reads it: names are decoded
+    too; bytes are UTF-8, or ISO-8859-1 where they are not."""
     _, mark, query = url.partition("?")
     for pair in query.partition("#")[0].split("&") if mark else ():
         key, _, value = pair.partition("=")
-        if pair and key == name:
+        if pair and _decoded(unquote_to_bytes(key), key) == name:
             raw = unquote_to_bytes(value.replace("+", " "))
             try:
                 return raw.decode("utf-8")
@@ -97,7 +113,7 @@ def _summary(row: Node, base: str) -> dict | None:
     return {
         "internalId": inside[1] if inside else "",
         "ca": key[1],
-        "detailUrl": urljoin(base, path),
+        "detailUrl": absolute(base, path),
         "numeroProcesso": number[0] if number else "",
         "classeJudicial": clean("".join(before)) if seen else "",
         "titulo": title,
@@ -226,8 +242,8 @@ def _document(anchor: Node, fallback: str, base: str) -> dict | None:
         "tipo": kind[1] if kind else None,
         "tamanhoTexto": size[1] if size else None,
         "formato": "pdf" if is_pdf else "html",
-        "downloadUrl": urljoin(base, href) if is_pdf else None,
-        "htmlViewUrl": urljoin(base, popup) if popup else None,
+        "downloadUrl": absolute(base, href) if is_pdf else None,
+        "htmlViewUrl": absolute(base, popup) if popup else None,
     }
 
 
@@ -376,17 +392,32 @@ def page_form(pager: dict, page: int) -> dict[str, str]:
 EXTRA_PAGE = T.StructType([T.StructField("kind", T.StringType()), T.StructField("read", T.BooleanType()), T.StructField("movimentacoes", T.ArrayType(schemas.MOVEMENT)), T.StructField("documentos", T.ArrayType(schemas.DOCUMENT))])
 
 
-def parsed(rows: DataFrame, parser: Callable[..., object], inputs: list[str], kind: T.DataType, alias: str = "parsed") -> DataFrame:
-    """``rows`` with ``parser(*inputs)`` as a column; rows with a null input get null."""
-    kept = [f for f in rows.schema.fields if f.name != alias]
-    schema = T.StructType([*kept, T.StructField(alias, kind)])
+def parsed(rows: DataFrame, parser: Callable[..., object], inputs: list[str], kind: T.DataType, alias: str = "parsed", errors: str | None = None) -> DataFrame:
+    """``rows`` with ``parser(*inputs)`` as a column; rows with a null input get null.
+
+    With ``errors`` a row on which the parser fails gets null, and what failed in that column;
+    without, it stops the query.
+    """
+    kept = [f for f in rows.schema.fields if f.name not in (alias, errors)]
+    schema = T.StructType([*kept, T.StructField(alias, kind), *([T.StructField(errors, T.StringType())] if errors else [])])
     names, arrow = [f.name for f in kept], to_arrow_type(kind)
 
+    def attempt(args: tuple) -> tuple[object, str | None]:
+        if None in args:
+            return None, None
+        if errors is None:
+            return parser(*args), None
+        try:
+            return parser(*args), None
+        except Exception as e:  # the row's own trouble, kept as data
+            return None, f"{type(e).__name__}: {e}"[:500]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(f"_in{i}").to_pylist() for i in range(len(inputs))]
-            made = [None if None in args else parser(*args) for args in zip(*columns, strict=True)]
-            made = [list(m.items()) if isinstance(kind, T.MapType) and m is not None else m for m in made]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(made, arrow)], names=[*names, alias])
+            tried = [attempt(args) for args in zip(*columns, strict=True)]
+            made = [list(m.items()) if isinstance(kind, T.MapType) and m is not None else m for m, _ in tried]
+            told = [pa.array([e for _, e in tried], pa.string())] if errors else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(made, arrow), *told], names=[*names, alias, *([errors] if errors else [])])
 
     return rows.select(*[F.col(n) for n in names], *[F.col(c).alias(f"_in{i}") for i, c in enumerate(inputs)]).mapInArrow(run, schema)

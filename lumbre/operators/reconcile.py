@@ -10,13 +10,13 @@ def reconcile_panels(cases: DataFrame, panels: DataFrame, case: str) -> DataFram
     """(case, pages, pages_read, pages_failed, complete, strict) of every case.
 
     ``cases``: (case, has_slider). ``panels``: one row per parsed pager: (case, last_page,
-    pages_read, pages_failed, rows_read, footer). Pages are summed over panels of several
-    pages; such a panel is whole if no page failed and its rows are exactly the footer's
+    pages_read, pages_failed, rows_read, footer), and perhaps current_page, 1 where it is not
+    there. Pages are summed over panels that have pages left after the one shown; such a panel is whole if no page failed and its rows are exactly the footer's
     count, or it has no footer. A case without such a panel is complete unless it shows a
     slider of which no pager could be read. ``strict`` asks more: every footer is met, of
     panels of one page too.
     """
-    many = F.col("last_page") > 1
+    many = F.col("last_page") > (F.coalesce(F.col("current_page"), F.lit(1)) if "current_page" in panels.columns else F.lit(1))
     met = F.col("footer").isNull() | (F.col("rows_read") == F.col("footer"))
     found = panels.groupBy(case).agg(
         F.count("*").alias("pagers"),

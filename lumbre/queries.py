@@ -40,9 +40,8 @@ FROM orders LEFT JOIN d ON d.l_orderkey = o_orderkey AND rn = 1
 def export_documents(spark, sf_dir):
     """Documents (orders) with the path of their latest download (lineitem)."""
     orders = _t(spark, sf_dir, "orders")
-    log = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey")
-    found = joins.with_latest(orders, log, "o_orderkey", ["l_linenumber", "l_partkey"], "l_suppkey", "_supp")
-    latest = joins.with_latest(found, log, "o_orderkey", ["l_linenumber"], "l_partkey", "_part")
+    log = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey")
+    latest = joins.with_latest(orders, log, "o_orderkey", ["l_linenumber"], "l_partkey", "_part")
     path = F.when(F.col("_part").isNotNull(), F.concat(F.lit("pdf/"), F.col("_part").cast("string"), F.lit(".pdf")))
     return latest.select("o_orderkey", F.col("o_orderstatus").alias("tipo"), F.col("o_orderpriority").alias("formato"), dates.format_date(F.col("o_orderdate")).alias("data"), path.alias("arquivo_local"))
 
@@ -139,7 +138,7 @@ c AS (
     UNION ALL SELECT c.a + CAST((c.z - c.a + 1) // 2 AS INTEGER), c.z, c.k WHERE c.z > c.a
     UNION ALL SELECT c.a, c.z, ks.k FROM ks WHERE c.z = c.a AND c.k IS NULL) x
   WHERE c.n >= {cap}),
-p AS (SELECT a AS start, z AS "end", k AS class, depth, n,
+p AS (SELECT a AS start, z AS "end", k AS class, false AS unclassed, depth, n,
        CASE WHEN n < {cap} THEN 'COMPLETE' WHEN z > a OR k IS NULL THEN 'SUBDIVIDED' ELSE 'SATURATED' END AS status FROM c)
 """
 
@@ -457,18 +456,13 @@ def pdf_paths(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", path.alias("caminho"))
 
 
-@_query("SELECT n_nationkey, n_name, CAST(row_number() OVER (ORDER BY n_name) AS BIGINT) AS ordem FROM nation")
-def catalogue_sort(spark, sf_dir):
-    """The catalogue in Portuguese order; its bounded rows are numbered in one task."""
-    from pyspark.sql import Window
-
-    order = Window.orderBy(F.collate("n_name", "pt"))
-    return _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.row_number().over(order).cast("long").alias("ordem"))
-
-
 def queries() -> dict:
-    return dict(_Q)
+    from lumbre import page_queries
+
+    return {**_Q, **page_queries.queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    from lumbre import page_queries
+
+    return {**_SQL, **page_queries.oracle_sql()}

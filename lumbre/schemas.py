@@ -36,7 +36,9 @@ DOCUMENT_ROW = T.StructType([*DOCUMENT.fields, *_struct(numeroProcesso=S, ca=S,
 DOWNLOAD = _struct(idProcessoDocumento=S, numeroProcesso=S, arquivoLocal=S, bytes=L, downloadedAt=T.TimestampType())
 FAILURE = _struct(kind=S, key=S, target=S, error=S, status=I, attempts=I, lastAttemptAt=T.TimestampType(), context=S)
 JUDICIAL_CLASS = _struct(codigo=S, nome=S)
-#: A response as captured: its search or detail key, page number, body and headers.
-CAPTURED = _struct(key=S, page=I, url=S, status=I, content_type=S, body=T.BinaryType())
+#: A response as captured: its search or detail key, page number, body and headers; ``form``
+#: names the pager that a later page of a panel answers, null for other responses.
+CAPTURED = _struct(key=S, page=I, url=S, status=I, content_type=S, body=T.BinaryType(), form=S)
+DEAD_LETTER = _struct(kind=S, key=S, error=S, attempts=I)
 EXPORT_CASES = ["numeroProcesso", "classeJudicial", "dataDistribuicao", "assunto", "jurisdicao", "orgaoJulgador", "orgaoJulgadorColegiado", "segredoJustica", "qtdPartes", "qtdMovimentacoes", "qtdDocumentos", "detailUrl", "scrapedAt"]
 EXPORT_DOCUMENTS = ["numeroProcesso", "idProcessoDocumento", "data", "tipo", "nomeArquivo", "tamanhoTexto", "formato", "downloadUrl", "arquivoLocal"]

@@ -17,28 +17,42 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejected lines) of a JSON Lines table; a missing file is an empty table."""
+#: Where a line stands: files by age and name, then by place.
+SEQ = T.StructType([T.StructField("file_time", T.TimestampType()), T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("line", T.LongType())])
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected lines) of a JSON Lines table; a missing file is an empty table.
+    ``seq`` names a column for the place of each line."""
     if not exists(spark, path):
-        return spark.createDataFrame([], schema), spark.createDataFrame([], "line string")
+        named = T.StructType([*schema.fields, *([T.StructField(seq, SEQ)] if seq else [])])
+        return spark.createDataFrame([], named), spark.createDataFrame([], "line string")
     marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     lines = spark.read.text(path).filter(F.trim("value") != "")
+    if seq:
+        place = [F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")]
+        lines = lines.withColumn(seq, F.struct(*place))
     read = lines.withColumn("row", F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     broken = F.col("row._corrupt_record").isNotNull()
-    return read.filter(~broken).select("row.*").drop("_corrupt_record"), read.filter(broken).select(F.col("value").alias("line"))
+    return read.filter(~broken).select("row.*", *([seq] if seq else [])).drop("_corrupt_record"), read.filter(broken).select(F.col("value").alias("line"))
 
 
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
     """The dead letters, the later line of a key winning."""
-    rows, _ = read_json_lines(spark, path, schemas.FAILURE)
-    return last_wins(rows.withColumn("seq", F.struct(F.col("attempts"), F.monotonically_increasing_id())), ["key"], "seq").drop("seq")
+    rows, _ = read_json_lines(spark, path, schemas.FAILURE, "seq")
+    return last_wins(rows, ["key"], "seq").drop("seq")
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """The class catalogue; empty where the file is missing or is no JSON."""
     if not exists(spark, path):
         return spark.createDataFrame([], schemas.JUDICIAL_CLASS)
-    rows = spark.read.schema(schemas.JUDICIAL_CLASS).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    rows = spark.read.schema(schemas.JUDICIAL_CLASS).option("multiLine", not _is_folder(spark, path)).option("mode", "DROPMALFORMED").json(path)
     return rows.filter(F.col("codigo").isNotNull() & F.col("nome").isNotNull())
 
 
@@ -77,12 +91,18 @@ def case_pages(captured: DataFrame) -> DataFrame:
 def remaining(pagers: DataFrame, captured: DataFrame) -> DataFrame:
     """Each page that a pager has left, joined to its captured answer; a page without one has failed.
 
-    ``pagers``: (ca, form, currentPage, lastPage). ``captured``: (key, page, html), key being the case.
+    ``pagers``: (ca, url, form, currentPage, lastPage), the url being the case's. ``captured``:
+    (key, page, html), key being the case, and perhaps form.
     """
     from lumbre.operators.limits import remaining_pages
 
-    asked = remaining_pages(pagers)
-    answers = captured.select(F.col("key").alias("ca"), "page", "html")
-    joined = asked.join(answers, ["ca", "page"], "left").withColumn("_base", F.lit("https://example.org/"))
-    found = parse.parsed(joined, parse.extra_page, ["html", "_base"], parse.EXTRA_PAGE, "extra").drop("_base", "html")
+    by = ["ca", "page", *(["form"] if "form" in captured.columns else [])]
+    answers = captured.select(F.col("key").alias("ca"), "html", *by[1:])
+    joined = remaining_pages(pagers).join(answers, by, "left")
+    found = parse.parsed(joined, parse.extra_page, ["html", "url"], parse.EXTRA_PAGE, "extra", "error").drop("html")
     return found.withColumn("read", F.coalesce(F.col("extra.read"), F.lit(False)))
+
+
+def write_catalogue(classes: DataFrame, path: str) -> None:
+    """Replace the class catalogue, a small table, by one file of JSON in Portuguese order."""
+    sorted_catalogue(classes.select("codigo", "nome")).coalesce(1).write.mode("overwrite").json(path)

@@ -183,24 +183,84 @@ def test_export_job(spark, tmp_path):
 
 
 def test_search_outcomes(spark):
-    captured = spark.createDataFrame([("a", 0, "u", 200, None, GRID.encode()), ("b", 0, "u", 200, None, b"<html></html>"), ("c", 0, "u", 503, None, b"x"), ("d", 0, "u", 200, None, None)], schemas.CAPTURED)
+    captured = spark.createDataFrame([("a", 0, "u", 200, None, GRID.encode(), None), ("b", 0, "u", 200, None, b"<html></html>", None), ("c", 0, "u", 503, None, b"x", None), ("d", 0, "u", 200, None, None, None)], schemas.CAPTURED)
     got = tables.search_results(tables.captured_text(captured), "https://e.org/")
     assert {r["key"]: r["outcome"] for r in got.collect()} == {"a": "ok", "b": "expired", "c": "failed", "d": "failed"}
-    pagers = spark.createDataFrame([("k", "f", 1, 3)], "ca string, form string, currentPage int, lastPage int")
+    pagers = spark.createDataFrame([("k", "https://other.org/c", "f", 1, 3)], "ca string, url string, form string, currentPage int, lastPage int")
     pages = spark.createDataFrame([("k", 2, PAGE)], "key string, page int, html string")
-    assert {r["page"]: r["read"] for r in tables.remaining(pagers, pages).collect()} == {2: True, 3: False}
+    got = {r["page"]: r for r in tables.remaining(pagers, pages).collect()}
+    assert {k: r["read"] for k, r in got.items()} == {2: True, 3: False}
+    assert got[2]["extra"]["documentos"][0]["downloadUrl"].startswith("https://other.org/d?")
+
+
+def later_page(kind, rows):
+    """A panel's later page, of movements or of documents."""
+    if kind == "movements":
+        body = "".join(f"<tr><td>0{i % 9 + 1}/09/2023 - M{i}</td></tr>" for i in rows)
+        return f'<html><meta name="Ajax-Update-Ids" content="x:processoEvento"><table id="x:processoEvento"><tbody id="x:processoEvento:tb">{body}</tbody></table></html>'.encode()
+    body = "".join(f'<tr><td><a href="/d?idBin=9&idProcessoDocumento={i}&actionMethod=m">01/09/2023 - D{i}</a></td></tr>' for i in rows)
+    return f'<html><meta name="Ajax-Update-Ids" content="x:processoDocumento"><table id="x:processoDocumentoGridTab"><tbody id="x:processoDocumentoGridTab:tb">{body}</tbody></table></html>'.encode()
+
+
+def two_sliders():
+    """A case of 65 movements on five pages and of 23 documents on two, as captured."""
+    slider = lambda f, last: f"""<script>new Richfaces.Slider("{f}:i",{{'maxValue':'{last}','sliderValue':'1','onchange':'A4J.AJAX.Submit(\\'{f}\\',event,{{\\'containerId\\':\\'c\\',\\'parameters\\':{{\\'{f}:t\\':\\'{f}:t\\'}} }} )'}} )</script>"""
+    part = lambda kind, rows: later_page(kind, rows).decode().split(">", 2)[2].removesuffix("</html>")
+    first = '<html><input name="javax.faces.ViewState" value="j">' + part("movements", range(15)) + "<span>65 resultados encontrados</span>" + slider("m", 5) + part("documents", range(15)) + "<span>23 resultados encontrados</span>" + slider("d", 2) + "</html>"
+    rows = [("k9", None, "https://e.org/c", 200, None, first.encode(), None)]
+    rows += [("k9", p, "https://e.org/c", 200, None, later_page("movements", range(15 * (p - 1), min(65, 15 * p))), "m") for p in range(2, 6)]
+    return [*rows, ("k9", 2, "https://e.org/c", 200, None, later_page("documents", range(15, 23)), "d")]
 
 
 def test_ingest(spark, tmp_path):
-    captured = spark.createDataFrame([("k1", 0, "https://e.org/c", 200, "text/html", PAGE.encode()), ("k2", 0, "u", 500, None, b"")], schemas.CAPTURED)
-    captured.write.parquet(f"file://{tmp_path}/in")
-    for _ in range(2):  # the second run finds nothing new
+    rows = [("k1", 0, "https://e.org/c", 200, "text/html", PAGE.encode(), None), ("k2", 0, "u", 500, None, b"", None), ("k3", 0, "u", None, None, b"", None), ("k4", 2, "u", 404, None, b"", "m")]
+    pages = two_sliders()
+    for at, batch in enumerate(([*rows, *pages[1:4]], [*pages[:1], *pages[4:], pages[2]], [])):  # later pages before their case, one twice; then nothing new
+        if batch:
+            spark.createDataFrame(batch, schemas.CAPTURED).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
         query = ingest.ingest(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out", f"file://{tmp_path}/ck")
         query.awaitTermination(120)
         assert query.exception() is None
-    (case,) = ingest.ingested_cases(spark, f"file://{tmp_path}/out").collect()
-    assert (case["ca"], case["movimentacoesCompleto"], case["movimentacoesPaginas"], len(case["documentos"])) == ("k1", False, 3, 2)
-    assert spark.read.json(f"file://{tmp_path}/out/failures").select("key").first()[0] == "detail:k2"
+    cases = {r["ca"]: r for r in ingest.ingested_cases(spark, f"file://{tmp_path}/out").collect()}
+    case = cases["k1"]
+    assert (case["movimentacoesCompleto"], case["movimentacoesPaginas"], case["movimentacoesPaginasLidas"], len(case["documentos"])) == (False, 3, 1, 2)
+    case = cases["k9"]
+    assert [m["descricao"] for m in case["movimentacoes"]] == [f"M{i}" for i in range(65)] and [d["idProcessoDocumento"] for d in case["documentos"]] == [str(i) for i in range(23)]
+    assert (case["movimentacoesCompleto"], case["movimentacoesPaginas"], case["movimentacoesPaginasLidas"]) == (True, 7, 7)
+    told = {r["key"]: r["error"] for r in spark.read.json(f"file://{tmp_path}/out/failures").collect()}
+    assert told == {"detail:k2": "status 500", "detail:k3": "no status", "detail:k4:m:2": "status 404"}
+    ingest.publish(spark, f"file://{tmp_path}/out")
+    documents, _ = tables.read_json_lines(spark, f"file://{tmp_path}/out/documents.jsonl", schemas.DOCUMENT_ROW)
+    assert documents.filter("ca = 'k9'").count() == 23
+
+
+def test_parser_errors_are_dead_letters(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", "1"), ("b", "x"), ("c", None)], "key string, html string")
+    got = {r["key"]: (r["p"], r["e"]) for r in parse.parsed(rows, int, ["html"], schemas.L, "p", "e").collect()}
+    assert got["a"] == (1, None) and got["c"] == (None, None) and got["b"][0] is None and got["b"][1].startswith("ValueError")
+    assert parse.absolute("https://e.org/", "http://[x") is None
+    assert parse.url_value("/d?id%50=7&idP=8", "idP") == "7" and parse.url_value("/d?a%zz=1", "a%zz") == "1"
+
+
+def test_pdfs(spark, tmp_path):
+    docs = [("1", "n 1", 0, "01/02/2024", None, "Ato", "x", b"%PDF-1", None), ("2", "n 1", 1, None, None, None, "y", b"<html>", "text/html"), ("3", "n 1", 2, None, "a", None, "z", None, None)]
+    rows = spark.createDataFrame(docs, "idProcessoDocumento string, numeroProcesso string, index int, data string, nomeArquivo string, tipo string, rotulo string, body binary, content_type string")
+    first = {r["idProcessoDocumento"]: r for r in sinks.write_pdfs(rows, f"file://{tmp_path}/pdf").collect()}
+    assert {k: r["outcome"] for k, r in first.items()} == {"1": "written", "2": "not a pdf", "3": "empty"}
+    assert [str(p.relative_to(tmp_path / "pdf")) for p in (tmp_path / "pdf").rglob("*.pdf")] == [first["1"]["arquivoLocal"]] == ["n-1/0001_2024-02-01_ato_1.pdf"]
+    again = sinks.write_pdfs(rows, f"file://{tmp_path}/pdf")
+    assert [(r["idProcessoDocumento"], r["bytes"]) for r in sinks.download_log(again, F.lit(None).cast("timestamp")).collect()] == [("1", 6)]
+
+
+def test_log_lines():
+    import logging
+
+    from lumbre.log import KeyValues, shown
+
+    assert [shown(x) for x in (None, True, "a", "a b", 3, {"k": [1]})] == ["null", "true", "a", '"a b"', "3", '{"k": [1]}']
+    record = logging.LogRecord("x", logging.INFO, "f", 1, "done", None, None)
+    record.fields = {"n": 1, "s": "x y"}
+    assert KeyValues().format(record).endswith('INFO  done n=1 s="x y"')
 
 
 def test_components(spark):
