@@ -34,14 +34,14 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Null ends and loops are left out. Nodes are of any type that Spark can order.
     """
     clean = edges.filter("u IS NOT NULL AND v IS NOT NULL AND u != v").select("u", "v").distinct()
-    now = scratch.save(clean, "components")
+    now = scratch.save(clean, "components", compact=True)
     before = None
     for _ in range(most_rounds):
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before or mark[0] == 0:
             break
         before, last = mark, now
-        now = scratch.save(_small_star(_large_star(now)), "components")
+        now = scratch.save(_small_star(_large_star(now)), "components", compact=True)
         scratch.discard(last)
     else:
         raise RuntimeError(f"components not settled after {most_rounds} rounds")

@@ -61,8 +61,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` and return it as read from its files."""
+def save(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
+    """Write ``df`` and return it as read from its files.
+
+    ``compact`` is for tables that are small beside the input, though many tasks make them:
+    they are gathered into two files a core, as thousands of small files cost more to make,
+    list and open than the rows to move.
+    """
+    if compact:
+        df = df.repartition(2 * max(1, df.sparkSession.sparkContext.defaultParallelism))
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
