@@ -202,13 +202,13 @@ def _bits(a: str, b: str) -> Column:
 
 def _sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, items) of the wanted nodes, from the text of one document each."""
-    few = scratch.save(nodes.join(wanted, "node", "left_semi").select("node", "digest", "doc_id"), "near-ids")
+    few = scratch.save(nodes.join(wanted, "node", "left_semi").select("node", "digest", "doc_id"), "near-ids", compact=True)
     ids = few.filter("doc_id IS NOT NULL").select("doc_id").distinct()
     texts = _with_small(rows.filter("doc_id IS NOT NULL"), ids, "doc_id", "left_semi")
     # Nodes whose documents all lack an id are found again by their digest alone.
     lacking = rows.filter("doc_id IS NULL") if few.filter("doc_id IS NULL").head(1) else rows.limit(0)
     found = texts.union(lacking).select("text").mapInArrow(_sets, "digest binary, items binary").filter("digest IS NOT NULL")
-    return scratch.save(found.join(few.select("node", "digest"), "digest").select("node", "items").dropDuplicates(["node"]), "near-sets")
+    return scratch.save(found.join(few.select("node", "digest"), "digest").select("node", "items").dropDuplicates(["node"]), "near-sets", compact=True)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,24 +226,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     about = nodes.select("node", "n", "sketch")
     other = about.select(F.col("node").alias("leader"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
     likely = star.join(about, "node").join(other, "leader").filter((4 * F.least("n", "n2") >= 3 * F.greatest("n", "n2")) & (_bits("sketch", "sketch2") <= MOST_BITS))
-    likely = scratch.save(likely.select("node", "leader"), "near-star")
+    likely = scratch.save(likely.select("node", "leader"), "near-star", compact=True)
     wanted = likely.select("node").union(likely.select("leader")).distinct()
     sets = _sets_of(rows, nodes, wanted)
     left = sets.select("node", F.col("items").alias("a_items"))
     right = sets.select(F.col("node").alias("leader"), F.col("items").alias("b_items"))
     pairs = likely.join(left, "node").join(right, "leader").select("node", "leader", "a_items", "b_items")
-    links = scratch.save(pairs.mapInArrow(_decided, "u long, v long"), "near-links")
-    roots = scratch.save(connected_components(links), "near-roots")
+    links = scratch.save(pairs.mapInArrow(_decided, "u long, v long"), "near-links", compact=True)
+    roots = scratch.save(connected_components(links), "near-roots", compact=True)
 
     # Buckets that the stars have left in more than one component; equal buckets once.
     rooted = members.filter("members > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = rooted.groupBy("key").agg(
         F.min("root").alias("a"), F.max("root").alias("b"), F.first("members").alias("members"), F.bit_xor(F.xxhash64("node")).alias("same")
     ).filter("a != b").groupBy("members", "same").agg(F.min("key").alias("key"))
-    left_over = scratch.save(rooted.join(open_keys.select("key", (F.ceil(F.col("members") / BLOCK)).alias("blocks")), "key").select("key", "node", "root", "blocks"), "near-open")
+    left_over = scratch.save(rooted.join(open_keys.select("key", (F.ceil(F.col("members") / BLOCK)).alias("blocks")), "key").select("key", "node", "root", "blocks"), "near-open", compact=True)
     more = _closed(rows, nodes, sets, left_over)
     if more is not None:
-        roots = scratch.save(connected_components(links.union(more)), "near-roots")
+        roots = scratch.save(connected_components(links.union(more)), "near-roots", compact=True)
 
     grouped = nodes.select("node", "digest", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -269,7 +269,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     row = F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "text_hash")
     best = found.groupBy("root").agg(F.min(row).alias("best")).select("root", F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"))
     chosen = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))
-    told = scratch.save(rows.join(best, "root").select("doc_id", "text_hash", "copies", chosen.alias("chosen")), "near-told")
+    told = scratch.save(rows.join(best, "root").select("doc_id", "text_hash", "copies", chosen.alias("chosen")), "near-told", compact=True)
     kept = without_rows(docs, told.filter("NOT chosen"), id_col, text_col)
     repeated = told.filter("chosen AND copies > 1")
     if not repeated.head(1):
@@ -286,12 +286,12 @@ def _closed(rows: DataFrame, nodes: DataFrame, sets: DataFrame, left_over: DataF
     if not left_over.head(1):
         return None
     wanted = left_over.select("node").distinct().join(sets, "node", "left_anti")
-    all_sets = sets.union(_sets_of(rows, nodes, scratch.save(wanted, "near-wanted")))
+    all_sets = sets.union(_sets_of(rows, nodes, scratch.save(wanted, "near-wanted", compact=True)))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pair = F.transform(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")), lambda i: F.struct(F.least(i, block).alias("i"), F.greatest(i, block).alias("j")))
     dealt = left_over.withColumn("pair", F.explode(pair)).select("key", "pair", "node", "root")
     full = dealt.join(nodes.select("node", "n", "sketch"), "node").join(all_sets, "node")
-    return scratch.save(full.groupBy("key", "pair").applyInArrow(_joined_up, "u long, v long"), "near-more")
+    return scratch.save(full.groupBy("key", "pair").applyInArrow(_joined_up, "u long, v long"), "near-more", compact=True)
 
 
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ def without_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_
     Null ids are equal here, and texts decide beside ids, so that no row goes for another
     one's sake. ``gone`` is sent out only if it is few by count.
     """
-    gone = scratch.save(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct(), "gone")
+    gone = scratch.save(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct(), "gone", compact=True)
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     same = docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (text_hash(docs[text_col]) == gone["_gone_hash"])
