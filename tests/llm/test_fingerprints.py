@@ -35,7 +35,7 @@ def brute(docs):
 
 def test_documents(spark, sf_dir):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    got = {r["doc_id"]: r for r in fp.fingerprint_neighbours(spark.createDataFrame(docs, "doc_id long, text string"), samples=48, range_bytes=20_000).collect()}
+    got = {r["doc_id"]: r for r in fp.fingerprint_neighbours(spark.createDataFrame(docs, "doc_id long, text string"), range_bytes=20_000).collect()}
     assert len(got) == len(docs)
     off, prints = [], {}
     for key, n, sha, e, following, text in brute(docs):
@@ -50,7 +50,7 @@ def test_documents(spark, sf_dir):
 def test_collision_rate_is_generalised_jaccard(spark):
     """Many draws over weights that are no counts' sets: sum of min over sum of max."""
     texts = spark.createDataFrame([(0, "a " * 1 + "b " * 4 + "c " * 9 + "d " * 2), (1, "a " * 3 + "b " * 4 + "c " * 3 + "e " * 5)], "k int, t string")
-    prints = {r["k"]: r["fingerprint"] for r in fp.weighted_samples(fp.weighted_words(texts, ["k"], "t"), ["k"], 600).collect()}
+    prints = {r["k"]: r["fingerprint"] for r in fp.weighted_samples(fp.weighted_words(texts, ["k"], ["t"]), ["k"], 600, {"fingerprint": "log_weight0"}).collect()}
     parts = lambda s: [s[i : i + fp.DIGITS] for i in range(0, len(s), fp.DIGITS)]
     same = np.mean([x == y for x, y in zip(parts(prints[0]), parts(prints[1]), strict=True)])
     assert abs(same - (1 + 4 + 3) / (3 + 4 + 9 + 2 + 5)) < 0.06
