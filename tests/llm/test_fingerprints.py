@@ -43,7 +43,7 @@ def test_documents(spark, sf_dir):
         assert (r["n_chars"], r["edited_sha256"]) == (n, sha)
         off += [r["near_edited"] - jaccard(text, e), r["near_next"] - jaccard(text, following)]
         assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
-    assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.09
+    assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.075
     assert len(set(prints.values())) == len(prints)
 
 
@@ -61,7 +61,7 @@ def test_messy(messy, nothing):
     rows = [(-(2**63) if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in messy.collect()]
     want = sorted((k, n, sha) for k, n, sha, *_ in brute(rows))
     assert sorted((-(2**63) if r["doc_id"] is None else r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
-    zeros = "0" * fp.DIGITS * 24
+    zeros = "0" * fp.DIGITS * fp.SAMPLES
     for r in got:
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         assert (r["fingerprint"] == zeros) == (r["doc_id"] in (2, 3, 4) or r["n_chars"] == 0)
@@ -88,8 +88,8 @@ def test_accuracy_of_the_query(spark, sf_dir):
     """The likenesses that the query itself gives, against the exact ones."""
     docs = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r["doc_id"]: r for r in fp.op8_fingerprint_documents(spark, sf_dir).collect()}
-    assert {len(r["fingerprint"]) for r in got.values()} == {32 * fp.DIGITS}
+    assert {len(r["fingerprint"]) for r in got.values()} == {fp.SAMPLES * fp.DIGITS}
     off = []
     for key, _, _, e, following, text in brute(docs):
         off += [got[key]["near_edited"] - jaccard(text, e), got[key]["near_next"] - jaccard(text, following)]
-    assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.09
+    assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.075
