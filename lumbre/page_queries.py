@@ -89,8 +89,8 @@ def parse_cases(spark, sf_dir):
 WITH o AS (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 7 = 5 THEN 'failed' WHEN n_nationkey % 7 = 3 THEN 'expired' WHEN n_nationkey % 7 = 1 THEN 'refused' ELSE 'ok' END AS outcome FROM nation)
 SELECT 's' || k AS key, outcome, outcome = 'ok' AND k % 2 = 0 AS truncated, CASE WHEN outcome = 'ok' THEN 30 ELSE -1 END AS total,
   CASE outcome WHEN 'ok' THEN 1 WHEN 'failed' THEN -1 ELSE 0 END AS rejected, CASE WHEN outcome = 'refused' THEN 'criterio' END AS message,
-  'k' || c_custkey AS ca, 'https://example.org/l.seam?ca=k' || c_custkey AS url, CAST(c_custkey AS VARCHAR) AS interno, 'Classe é' AS classe, 'CX ' || c_name AS titulo,
-  c_mktsegment || ' X €' AS partes, 'Fim' AS ultima
+  'k' || c_custkey AS ca, 'https://example.org/l.seam?ca=k' || c_custkey AS url, CAST(c_custkey AS VARCHAR) AS interno, CASE WHEN c_custkey IS NOT NULL THEN 'Classe é' END AS classe, 'CX ' || c_name AS titulo,
+  c_mktsegment || ' X €' AS partes, CASE WHEN c_custkey IS NOT NULL THEN 'Fim' END AS ultima
 FROM o LEFT JOIN customer ON c_nationkey = k AND outcome = 'ok'
 """)
 def parse_searches(spark, sf_dir):
