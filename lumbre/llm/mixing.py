@@ -11,10 +11,10 @@ rows below the threshold once more.
 
 Defined results
     null source       a source of its own, after all others
-    null id           hashed like the empty text
+    null id           hashed as an empty id, with its text
     null, empty text  size 0, nothing to take
-    repeated rows     rows of one hash share what is left of the budget in
-                      proportion to their sizes, rounded down
+    repeated rows     rows of one id and text have one hash; those at the budget's edge
+                      share what is left of it in proportion to their sizes, rounded down
     empty table       no rows
     clashing names    the names that ``mix`` adds replace columns of ``docs``
 """
@@ -33,10 +33,10 @@ LEVEL_BITS, LEVELS = 15, 4
 ADDED = ["size", "source_size", "target", "taken"]
 
 
-def row_hash(doc_id: Column, seed: str) -> Column:
-    """60 bits of a seeded hash of the id, as a long."""
-    text = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(seed))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+def row_hash(doc_id: Column, text: Column, seed: str) -> Column:
+    """60 bits of a seeded hash of id and text, as a long: rows that share an id are told apart."""
+    whole = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(seed), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_epochs: int) -> DataFrame:
@@ -105,7 +105,7 @@ def mixing_plan(rows: DataFrame, weights: Sequence[int] = (1, 2, 3), share: floa
 def measured(docs: DataFrame, seed: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, source, size, hash) of every row."""
     return docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), row_hash(F.col(id_col), seed).alias("hash")
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), row_hash(F.col(id_col), F.col(text_col), seed).alias("hash")
     )
 
 
@@ -140,7 +140,7 @@ def mix(
     """
     rows = scratch.save(measured(docs, seed, id_col, text_col, source_col), "mix-rows")
     plan = mixing_plan(rows, weights, share, max_epochs)
-    return apply_plan(docs, plan, F.col(source_col), word_count(F.col(text_col)), row_hash(F.col(id_col), seed))
+    return apply_plan(docs, plan, F.col(source_col), word_count(F.col(text_col)), row_hash(F.col(id_col), F.col(text_col), seed))
 
 
 def mix_digest(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), share: float = 1.0, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
@@ -158,7 +158,7 @@ def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || 'mix'), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || 'mix' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM s),

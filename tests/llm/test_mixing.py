@@ -50,7 +50,7 @@ def test_targets_and_budgets(spark):
 def test_levels_decide_like_a_sort(spark):
     """The histogram's threshold keeps the rows that sorting by hash would keep."""
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"), F.lit("one two").alias("text"))
-    rows = mix_digest(docs).withColumn("h", mixing.row_hash(F.col("doc_id"), "mix")).collect()
+    rows = mix_digest(docs).withColumn("h", mixing.row_hash(F.col("doc_id"), F.lit("one two"), "mix")).collect()
     for s in "ab":
         own = sorted((r for r in rows if r["source"] == s), key=lambda r: r["h"])
         assert [r["taken"] for r in own] == sorted((r["taken"] for r in own), reverse=True)
@@ -74,3 +74,10 @@ def test_one_id_for_all_rows(spark):
     docs = spark.range(500).select(F.lit(1).alias("doc_id"), F.when(F.col("id") < 100, "a").otherwise("b").alias("source"), F.lit("a b c d e f g h").alias("text"))
     got = mix_digest(docs).groupBy("source").agg(F.sum("taken").alias("n"), F.first("target").alias("t"), F.count("*").alias("k")).collect()
     assert all(r["t"] - r["n"] <= r["k"] for r in got)
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    """With one id for all rows, budgets are met but for less than the words of one row."""
+    docs = spark.range(600).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") < 100, "a").otherwise("b").alias("source"), F.concat(F.lit("a b t"), F.col("id")).alias("text"))
+    got = mix_digest(docs).groupBy("source").agg(F.sum("taken").alias("n"), F.first("target").alias("t")).collect()
+    assert all(0 <= r["t"] - r["n"] < 3 for r in got)
