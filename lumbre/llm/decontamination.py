@@ -1,10 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1.  Document frequencies of all words over the whole corpus, in hashed cells.
-2.  A latent space of ``RANK`` dimensions: a randomised SVD (Gaussian range finder with power
-    iterations, each pass over the rows summed across tasks) of TF-IDF passages of ``PASSAGE``
-    words, taken from a sample of about ``sample`` passages of the corpus's distinct texts and
-    from the whole benchmark. Words that stand in like company lie close together in it.
+1.  The words of all rows are written once as hashed cells; document frequencies are counted on them.
+2.  A latent space of ``RANK`` dimensions: a randomised SVD (Gaussian start, one power iteration and
+    Nystrom's approximation, each pass over the rows summed across tasks) of TF-IDF passages of
+    ``PASSAGE`` words, of which each distinct one counts once, of the whole corpus and the whole
+    benchmark. Words that stand in like company lie close together in it.
 3.  Every document is folded in as windows of ``WINDOW`` words every ``STEP`` words. A window
     whose cosine with a passage of an item is ``COSINE`` or more is a candidate; as such a
     candidate needs the item's answer, documents without it are passed over before their
@@ -37,45 +37,41 @@ from __future__ import annotations
 import string
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbre import scratch
-from lumbre.llm.words import give_back, slices, small_batches, split_words, text_hash, without_rows
+from lumbre.llm.words import BROADCAST_ROWS, give_back, slices, small_batches, split_words, text_hash, without_rows
 
 CELL_BITS = 18
 CELLS = 1 << CELL_BITS
 #: Words of a passage and of a window: every run of PASSAGE words lies in some window.
 PASSAGE, PASSAGE_STEP, WINDOW, STEP = 48, 24, 60, 12
-RANK, EXTRA, POWERS, SAMPLE, PARTS = 64, 8, 1, 1 << 14, 4
+RANK, EXTRA = 64, 8
 COSINE, SYNONYM, SEEN = 0.4, 0.8, 8
 SURE, LIKELY, ANSWER = 0.75, 0.5, 0.8
 SHORT = 5
 BLOCK_WORDS = 1 << 21
 CHUNK = 1 << 18
+#: Words of a task of the SVD, whose sums take CELLS x (RANK + EXTRA) floats however few the words are; blocks at a time.
+TASK_WORDS, PIECE = 1 << 26, 1 << 13
+#: Times that a word occurs in passages: above FEW it has a vector, from SEEN on synonyms.
+FEW = 2
 _EDGES = string.punctuation + "«»„“”‘’…–—¿¡"
 
 
-_seen: dict[str, int] = {}
-
-
-def normal_hash(word: str) -> int:
-    """Hash of a word in lower case without punctuation at its ends; 0 where nothing else is left."""
-    bare = word.strip(_EDGES).lower()
-    _seen[word] = found = xxhash.xxh64_intdigest(bare) or 1 if bare else 0
-    return found
-
-
 def normal_hashes(words: pa.Array) -> np.ndarray:
-    if len(_seen) > 200_000:
-        _seen.clear()
-    look = _seen.get
-    return np.fromiter((normal_hash(w) if (x := look(w)) is None else x for w in words.to_pylist()), np.uint64, len(words))
+    """Hash of each word in lower case without punctuation at its ends; 0 where nothing else is left."""
+    bare = pc.utf8_trim(words, _EDGES)
+    found = np.fromiter(map(xxhash.xxh64_intdigest, map(str.lower, bare.to_numpy(zero_copy_only=False))), np.uint64, len(bare))
+    return np.where(pc.binary_length(bare).to_numpy() > 0, np.maximum(found, 1), 0).astype(np.uint64)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,26 +89,66 @@ def cells_of(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
-    """The sum of the float arrays of ``size`` that ``partial`` makes of each partition of ``rows``,
-    a bounded number of partitions. Arrays are cut into chunks, which are added up on the executors.
+def packed_words(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row`` and ``words`` in place of ``text``: the cells of its words, three
+    bytes each, and the number of the row's first passage among all."""
+    others = [c for c in docs.columns if c != "text"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 33
+        for batch in slices(batches, "text"):
+            h, offsets = word_hashes(batch.column("text"))
+            raw = np.ascontiguousarray(cells_of(h).astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3])
+            words = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((3 * offsets).astype(np.int32)), pa.py_buffer(raw)])
+            upto = at + np.cumsum(np.maximum(1, -(-np.diff(offsets) // PASSAGE_STEP)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(np.append([at], upto[:-1])), words], names=[*others, "row", "words"])
+            at = int(upto[-1])
+
+    kind = ", ".join([*(f"{c} {docs.schema[c].dataType.simpleString()}" for c in others), "row long", "words binary"])
+    return docs.select(*others, "text").mapInArrow(pack, kind)
+
+
+def unpacked(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(cell of each word, first word of each row and the end) of ``packed_words``."""
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0] : at[-1]].reshape(-1, 3)
+    cells = np.zeros((len(raw), 4), np.uint8)
+    cells[:, :3] = raw
+    return cells.view("<i4").ravel(), (at - at[0]) // 3
+
+
+def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], list[np.ndarray]], *sizes: int) -> list[np.ndarray]:
+    """The sums of the float arrays of ``sizes`` that ``partial`` makes of each partition of
+    ``rows``. Arrays are cut into chunks, which are added up on the executors.
     """
+    firsts = np.cumsum([0, *(-(-n // CHUNK) for n in sizes)])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = np.ascontiguousarray(partial(batches), np.float32).ravel()
-        for i in range(0, len(flat), CHUNK):
-            if flat[i : i + CHUNK].any():
-                yield pa.RecordBatch.from_arrays([pa.array([i // CHUNK], pa.int32()), pa.array([flat[i : i + CHUNK].tobytes()], pa.binary())], names=["chunk", "part"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_buffer(), np.float32) for x in table.column("part"))
-        return pa.table({"chunk": table.column("chunk")[:1], "part": pa.array([total.tobytes()], pa.binary())})
+        for first, made in zip(firsts.tolist(), partial(batches)):
+            flat = np.ascontiguousarray(made, np.float32).ravel()
+            for i in range(0, len(flat), CHUNK):
+                if flat[i : i + CHUNK].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([first + i // CHUNK], pa.int32()), pa.array([flat[i : i + CHUNK].tobytes()], pa.binary())], names=["chunk", "part"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                more = np.frombuffer(part.as_buffer(), np.float32)
+                if chunk in totals:
+                    totals[chunk] += more
+                else:
+                    totals[chunk] = more.copy()
+        for chunk, total in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "part"])
 
     kind = "chunk int, part binary"
-    out = np.zeros(size, np.float32)
-    for r in rows.mapInArrow(emit, kind).groupBy("chunk").applyInArrow(add, kind).collect():
+    out = [np.zeros(n, np.float32) for n in sizes]
+    for r in rows.mapInArrow(emit, kind).repartition("chunk").mapInArrow(add, kind).toLocalIterator():
+        k = int(np.searchsorted(firsts, r["chunk"], side="right")) - 1
         part = np.frombuffer(r["part"], np.float32)
-        out[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(part)] = part
+        at = (r["chunk"] - int(firsts[k])) * CHUNK
+        out[k][at : at + len(part)] = part
     return out
 
 
@@ -130,114 +166,241 @@ class Frequencies:
 
 
 def frequencies(docs: DataFrame) -> Frequencies:
-    """Counted over all rows of ``docs`` (text), added up in the JVM; CELLS rows come to the driver."""
+    """Counted over all rows of ``docs`` (text)."""
+    return counted(packed_words(docs.select("text")))
+
+
+def counted(words: DataFrame) -> Frequencies:
+    """Counted over all rows of ``words``, added up in the JVM; CELLS rows come to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows, words = np.zeros(CELLS, np.int64), 0, 0
-        for batch in slices(batches, "text"):
-            h, offsets = word_hashes(batch.column(0))
-            pairs = np.repeat(np.arange(batch.num_rows), np.diff(offsets)) << CELL_BITS | cells_of(h)
+        for batch in slices(batches, "words", 1 << 20):
+            cells, offsets = unpacked(batch.column("words"))
+            pairs = np.repeat(np.arange(batch.num_rows), np.diff(offsets)) << CELL_BITS | cells
             pairs.sort()
             first = np.ones(len(pairs), bool)
             first[1:] = pairs[1:] != pairs[:-1]
             total += np.bincount(pairs[first] & (CELLS - 1), minlength=CELLS)
-            rows, words = rows + batch.num_rows, words + len(h)
+            rows, words = rows + batch.num_rows, words + len(cells)
         if rows:
             cells = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(cells, [-1, -2])), pa.array(np.append(total[cells], [rows, words]))], names=["cell", "n"])
 
-    found = docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    found = words.select("words").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells, n = found.column("cell").to_numpy(), found.column("n").to_numpy()
     df = np.zeros(CELLS, np.int64)
     df[cells[cells >= 0]] = n[cells >= 0]
     return Frequencies(int(n[cells == -1].sum()), int(n[cells == -2].sum()), df)
 
 
-def passages_of(cells: np.ndarray) -> list[np.ndarray]:
-    """The cells of each passage, the last one up to the end."""
-    last = max(1, len(cells) - PASSAGE_STEP) if len(cells) > PASSAGE else 1
-    return [cells[at : at + PASSAGE] for at in range(0, last, PASSAGE_STEP)]
+def blocks_of(cells: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cells of each block of PASSAGE_STEP words of a text, filled up with CELLS; first block of each text and the end)."""
+    n = -(-np.diff(offsets) // PASSAGE_STEP)
+    first = np.concatenate([[0], np.cumsum(n)])
+    blocks = np.full((int(first[-1]), PASSAGE_STEP), CELLS, np.int32)
+    blocks.ravel()[np.arange(len(cells)) + np.repeat(first[:-1] * PASSAGE_STEP - offsets[:-1], np.diff(offsets))] = cells
+    return blocks, first
+
 
+def passages_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first block, whether a second one follows) of every passage; passages are two
+    blocks that follow each other, or the only one."""
+    n = np.diff(first)
+    many = np.where(n > 0, np.maximum(1, n - 1), 0)
+    text = np.repeat(np.arange(len(n)), many)
+    return text, first[:-1][text] + np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many), n[text] > 1
 
-def sampled_passages(rows: DataFrame, freq: Frequencies, sample: int) -> DataFrame:
-    """(cells, weights of length one) of about ``sample`` passages of the distinct texts of ``rows``, by hash.
 
-    A share of the texts is taken and a share of their passages, so that neither many copies
-    nor a long text fill the sample.
+@cache
+def cell_keys() -> np.ndarray:
+    keys = np.random.default_rng(11).integers(0, 1 << 64, CELLS + 1, np.uint64)
+    keys[CELLS] = 0
+    return keys
+
+
+def passage_keys(blocks: np.ndarray, left: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """64 bits of the words of each passage, in any order."""
+    mix = cell_keys()
+    sums = np.append(np.concatenate([mix[blocks[i : i + PIECE]].sum(axis=1) for i in range(0, len(blocks), PIECE)] or [np.zeros(0, np.uint64)]), np.uint64(0))
+    return (sums[left] + np.where(two, sums[left + 1], np.uint64(0))).view(np.int64)
+
+
+def own_passages(words: DataFrame) -> DataFrame:
+    """(row, kept) of the rows of ``words`` (row, words) of which some passage also stands in
+    another row or twice: which of their passages count. Of equal passages the first one
+    counts. Only numbers are shuffled.
     """
-    share = min(1.0, sample * PASSAGE_STEP / max(freq.words, 1))
-    texts = min(1.0, 8 * share)
-    within = int(share / texts * (1 << 32))
-    idf = freq.idf
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            h, offsets = word_hashes(batch.column(0))
-            cells, found = cells_of(h), []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                found += [p for p in passages_of(cells[a:b]) if len(p) and xxhash.xxh32_intdigest(p.tobytes()) < within]
-            found = [np.unique(p, return_counts=True) for p in found]
-            weights = [(1 + np.log(n)) * idf[c] for c, n in found]
-            weights = [(w / np.linalg.norm(w)).astype(np.float32) for w in weights]
-            yield pa.RecordBatch.from_arrays([pa.array([c.astype(np.int32) for c, _ in found], pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))], names=["cells", "weights"])
-
-    bound = int(texts * (1 << 40))
-    h = F.xxhash64("text", F.lit(5))
-    some = rows.select("text", h.alias("h")).filter(F.pmod("h", F.lit(1 << 40)) < bound).groupBy("h").agg(F.min("text").alias("text"))
-    return some.select("text").mapInArrow(cut, "cells array<int>, weights array<float>")
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "words", 1 << 20):
+            blocks, first = blocks_of(*unpacked(batch.column("words")))
+            text, left, two = passages_of(first)
+            row = batch.column("row").to_numpy()[text]
+            yield pa.RecordBatch.from_arrays([pa.array(passage_keys(blocks, left, two)), pa.array(row), pa.array(row + left - first[text])], names=["key", "row", "id"])
+
+    # Passages are numbered as rows are, so that the least row is the one of the least passage.
+    owners = words.mapInArrow(keys, "key long, row long, id long").groupBy("key").agg(F.min("row").alias("row"), F.min("id").alias("id"))
+    kept = owners.groupBy("row").agg(F.collect_list((F.col("id") - F.col("row")).cast("int")).alias("kept"))
+    blocks = F.ceil(F.length("words") / (3 * PASSAGE_STEP))
+    whole = words.select("row", F.when(blocks > 1, blocks - 1).otherwise(blocks).alias("n"))
+    cut = whole.join(kept, "row", "left").filter("n > coalesce(size(kept), 0)")
+    return scratch.save(cut.select("row", F.coalesce("kept", F.array().cast("array<int>")).alias("kept")), "leak-passages", compact=True)
+
+
+def scatter_add(total: np.ndarray, cells: np.ndarray, block: np.ndarray, values: np.ndarray) -> None:
+    """total[cells] += values[block], with cells that come often. Runs of a cell are added up
+    first, all their first rows at once and so on, and long ones on their own."""
+    code = cells.astype(np.int64) << 32 | block
+    code.sort()
+    cells, block = code >> 32, code & 0xFFFFFFFF
+    starts = np.flatnonzero(np.diff(cells, prepend=-1))
+    size = np.diff(np.append(starts, len(cells)))
+    order = np.argsort(-size, kind="stable")
+    starts, size = starts[order], size[order]
+    sums = values[block[starts]]
+    for k in range(1, 16):
+        n = int(np.searchsorted(-size, -k, side="left"))  # runs longer than k
+        if not n:
+            break
+        sums[:n] += values[block[starts[:n] + k]]
+    for i in range(int(np.searchsorted(-size, -16, side="left"))):
+        sums[i] += values[block[starts[i] + 16 : starts[i] + size[i]]].sum(axis=0)
+    total[cells[starts]] += sums
+
+
+def listed_rows(batches: Iterator[pa.RecordBatch], basis: np.ndarray) -> list[np.ndarray]:
+    """A'A ``basis`` and how often each feature occurs, of the sparse rows A (cells array, weights array)."""
+    total, seen = np.zeros(basis.shape, np.float32), np.zeros(len(basis), np.float32)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            cells, weights = batch.column(0).slice(at, 1000), batch.column(1).slice(at, 1000)
+            offsets = cells.offsets.to_numpy()
+            full = offsets[:-1][np.diff(offsets) > 0] - offsets[0]
+            if len(full):
+                cells, weights = cells.flatten().to_numpy(), weights.flatten().to_numpy().astype(np.float32)
+                y = np.add.reduceat(weights[:, None] * basis[cells], full)
+                back = weights[:, None] * np.repeat(y, np.diff(np.append(full, len(cells))), axis=0)
+                scatter_add(total, cells, np.arange(len(cells)), back)
+                seen += np.bincount(cells, minlength=len(seen))
+    return [total, seen]
+
+
+def passage_rows(idf: np.ndarray):
+    """As ``listed_rows``, of the TF-IDF passages, of length one, of rows (words, kept)."""
+    square = np.append(idf, np.float32(0)) ** 2
+
+    def product(batches: Iterator[pa.RecordBatch], basis: np.ndarray) -> list[np.ndarray]:
+        width = basis.shape[1]
+        table, total, seen = np.zeros((CELLS + 1, width), np.float32), np.zeros((CELLS + 1, width), np.float32), np.zeros(CELLS + 1)
+        np.multiply(basis, idf[:, None], out=table[:-1])
+        del basis
+        place = np.arange(2 * PASSAGE_STEP, dtype=np.int32)
+        for batch in slices(batches, "words", 3 * PASSAGE_STEP * PIECE):
+            blocks, first = blocks_of(*unpacked(batch.column("words")))
+            text, left, two = passages_of(first)
+            keep = np.ones(len(text), np.float32)
+            listed = batch.column("kept").is_valid().to_numpy(zero_copy_only=False)
+            if listed.any():
+                ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
+                for d in np.flatnonzero(listed).tolist():
+                    keep[ends[d] : ends[d + 1]] = 0
+                    keep[ends[d] + batch.column("kept")[d].values.to_numpy()] = 1
+            for at in range(0, len(left), PIECE):
+                some, second = left[at : at + PIECE], two[at : at + PIECE]
+                low = int(some[0])
+                part = blocks[low : int(some[-1]) + 2]
+                a, b = some - low, np.where(second, some - low + 1, len(part))
+                both = np.vstack([part, np.full((1, PASSAGE_STEP), CELLS, np.int32)])
+                both = np.concatenate([both[a], both[b]], axis=1)
+                both.sort(axis=1)
+                new = np.ones(both.shape, bool)
+                new[:, 1:] = both[:, 1:] != both[:, :-1]
+                run = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
+                norm = np.einsum("ij,ij->i", (2 * run + 1).astype(np.float32), square[both])  # sum of (n idf)^2
+                weight = keep[at : at + PIECE] / np.maximum(norm, 1e-12)
+                folded = np.zeros((len(part) + 1, width), np.float32)
+                for i in range(0, len(part), 512):
+                    folded[i : min(i + 512, len(part))] = table.take(part[i : i + 512].ravel(), axis=0).reshape(-1, PASSAGE_STEP, width).sum(axis=1)
+                y = (folded[a] + folded[b]) * weight[:, None]
+                back, times = np.zeros((len(part) + 1, width), np.float32), np.zeros(len(part) + 1)
+                back[a] = y
+                back[b[second]] += y[second]
+                times[a] = keep[at : at + PIECE]
+                times[b[second]] += keep[at : at + PIECE][second]
+                cells, block = part.ravel(), np.repeat(np.arange(len(part)), PASSAGE_STEP)
+                scatter_add(total, cells, block, back)
+                seen += np.bincount(cells, times[block], CELLS + 1)
+        total[:-1] *= idf[:, None]
+        return [total[:-1], seen[:-1]]
+
+    return product
+
+
+def turned(x: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """``x @ turn``, for a square or narrower ``turn``, in the place of ``x``."""
+    out = x.reshape(-1)[: len(x) * turn.shape[1]].reshape(len(x), turn.shape[1])
+    for i in range(0, len(x), 1 << 12):  # what is written lies at or before what is read
+        out[i : i + (1 << 12)] = x[i : i + (1 << 12)].astype(np.float64) @ turn
+    return out
+
+
+def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``x.T @ y`` in double precision, some rows at a time."""
+    return sum(x[i : i + (1 << 12)].astype(np.float64).T @ y[i : i + (1 << 12)].astype(np.float64) for i in range(0, max(1, len(x)), 1 << 12))
+
+
+def roots(gram: np.ndarray, least: float) -> np.ndarray:
+    """A turn that makes columns of this Gram matrix orthonormal, without those below ``least`` of the largest."""
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    some = values > least * max(values.max(), 1e-30)
+    return vectors[:, some] / np.sqrt(values[some])
 
 
 def randomised_svd(rows: DataFrame, features: int, rank: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(right singular vectors (features x rank), singular values) of the sparse rows (cells array, weights array)."""
+    return latent_vectors(rows, features, rank, listed_rows, seed)[:2]
+
+
+def latent_vectors(rows: DataFrame, features: int, rank: int, product, seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(right singular vectors, singular values, occurrences of each feature) of the rows A that
+    ``product`` takes A'A times a basis of: once for a Gaussian basis, once for what that gives.
+    The driver holds one array of features x rank and a half one at a time.
+    """
     width = min(features, rank + EXTRA)
-    basis = np.random.default_rng(seed).standard_normal((features, width)).astype(np.float32)
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(cells, weights, first of each row) of some rows at a time."""
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                cells, weights = batch.column(0).slice(at, 1000), batch.column(1).slice(at, 1000)
-                offsets = cells.offsets.to_numpy()
-                full = offsets[:-1][np.diff(offsets) > 0] - offsets[0]
-                if len(full):
-                    yield cells.flatten().to_numpy(), weights.flatten().to_numpy().astype(np.float32), full
-
-    def there_and_back(basis: np.ndarray):
-        def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-            total = np.zeros((features, width), np.float32)
-            for cells, weights, starts in pieces(batches):
-                y = np.add.reduceat(weights[:, None] * basis[cells], starts)
-                back = weights[:, None] * np.repeat(y, np.diff(np.append(starts, len(cells))), axis=0)
-                order = np.argsort(cells, kind="stable")
-                own, first = np.unique(cells[order], return_index=True)
-                total[own] += np.add.reduceat(back[order], first)
-            return total
-
-        return partial
-
-    def gram(basis: np.ndarray):
-        def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-            total = np.zeros((width, width), np.float32)
-            for cells, weights, starts in pieces(batches):
-                y = np.add.reduceat(weights[:, None] * basis[cells], starts)
-                total += y.T @ y
-            return total
-
-        return partial
-
-    for _ in range(1 + POWERS):  # the range, and power iterations
-        basis = np.linalg.qr(summed(rows, there_and_back(basis), features * width).reshape(features, width))[0].astype(np.float32)
-    values, turn = np.linalg.eigh(summed(rows, gram(basis), width * width).reshape(width, width).astype(np.float64))
+    def start(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+        return product(batches, np.random.default_rng(seed).standard_normal((features, width), np.float32))
+
+    basis, seen = summed(rows, start, features * width, features)
+    basis = basis.reshape(features, width)
+    for _ in range(2):  # the second time for what rounding left
+        basis = turned(basis, roots(products(basis, basis), 1e-12))
+    # Any basis near this one will do, but both uses of it must be of the same.
+    basis *= np.float32(np.sqrt(features))
+    half = basis.astype(np.float16)
+    del basis
+    shared = rows.sparkSession.sparkContext.broadcast(half)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+        return product(batches, shared.value.astype(np.float32))[:1]
+
+    (z,) = summed(rows, again, half.size)
+    shared.destroy()
+    z = z.reshape(half.shape)
+    root = roots(products(half, z), 1e-6)  # A'A is near z (half' z)^-1 z'
+    values, turn = np.linalg.eigh(root.T @ products(z, z) @ root)
     best = np.argsort(-values)[: min(rank, width)]
-    best = best[values[best] > 1e-6 * max(values.max(), 1e-30)]
-    return (basis @ turn[:, best]).astype(np.float32), np.sqrt(values[best])
+    best = best[values[best] > 1e-6 * max(values.max(initial=0), 1e-30)]
+    return turned(z, root @ turn[:, best] / np.sqrt(values[best])), np.sqrt(values[best]), seen
 
 
 @dataclass
 class LatentSpace:
     """Of each cell: its row of ``vectors`` (the latent vector times the weight, by the roots of
-    the singular values, so that the first dimensions do not drown the others) or -1, the last row, which is zero; and
-    whether it is seen often enough to have synonyms."""
+    the singular values, so that the first dimensions do not drown the others; in any unit, so that
+    half precision holds them) or -1, the last row, which is zero; and whether it is seen often
+    enough to have synonyms."""
 
     row: np.ndarray
     vectors: np.ndarray
@@ -245,7 +408,7 @@ class LatentSpace:
     often: np.ndarray
 
     def fold(self, cells: np.ndarray) -> np.ndarray:
-        return self.vectors[self.row[cells]].sum(axis=0)
+        return self.vectors[self.row[cells]].sum(axis=0, dtype=np.float32)
 
     def meanings(self, cells: np.ndarray) -> np.ndarray:
         """Unit vectors of words, by what they stand with."""
@@ -253,32 +416,27 @@ class LatentSpace:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def latent_space(rows: DataFrame, benchmark: DataFrame, freq: Frequencies, sample: int = SAMPLE, rank: int = RANK) -> LatentSpace:
-    """Fit on a sample of the corpus (``rows``: text) and all of the benchmark (``benchmark``: text)."""
-    whole = Frequencies(freq.documents, 0, freq.df)  # of the benchmark every passage is taken
-    passages = sampled_passages(rows, freq, sample).unionByName(sampled_passages(benchmark, whole, sample))
-    # A passage that many texts share counts once: it would draw the space to itself.
-    passages = scratch.save(passages.dropDuplicates(["cells"]).repartition(PARTS, F.xxhash64("cells")), "leak-passages")
-    seen = passages.select(F.explode("cells").alias("cell")).groupBy("cell").count().toArrow()
-    cells, n = seen.column("cell").to_numpy(), seen.column("count").to_numpy()
-    used = np.sort(cells[n > 2])  # words of a passage or two say little of what they stand with
+def latent_space(words: DataFrame, freq: Frequencies, rank: int = RANK) -> LatentSpace:
+    """Fit on all rows of ``words`` (row, words), those of the corpus and of the benchmark."""
+    own = own_passages(words)
+    if own.count() <= BROADCAST_ROWS:  # sent out only if it is few by count; the words are many times as much
+        own = F.broadcast(own)
+    rows = words.join(own, "row", "left").select("words", "kept")
+    # Each task sends sums of all cells, so that tasks are as many as their words make worth it.
+    v, values, seen = latent_vectors(rows.coalesce(1 + freq.words // TASK_WORDS), CELLS, rank, passage_rows(freq.idf))
+    used = np.flatnonzero(seen > FEW) if len(values) else np.zeros(0, np.int64)
     row = np.full(CELLS, -1, np.int32)
     row[used] = np.arange(len(used))
-    often = np.zeros(len(used) + 1, bool)
-    often[row[cells[n >= SEEN]]] = True
     if not len(used):
-        return LatentSpace(row, np.zeros((1, 1), np.float32), np.ones(1, np.float32), often)
-
-    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(r[r >= 0], w[r >= 0]) for c, w in zip(batch.column(0), batch.column(1), strict=True) for r, w in [(row[c.values.to_numpy()], w.values.to_numpy())]]
-            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.list_(pa.int32())), pa.array([w for _, w in rows], pa.list_(pa.float32()))], names=["cells", "weights"])
-
-    numbered = scratch.save(passages.mapInArrow(renumber, "cells array<int>, weights array<float>"), "leak-rows")
-    basis, values = randomised_svd(numbered, len(used), rank)
+        return LatentSpace(row, np.zeros((1, 1), np.float32), np.ones(1, np.float32), np.zeros(1, bool))
     values = values.astype(np.float32)
-    vectors = np.vstack([basis * freq.idf[used][:, None] / np.sqrt(values), np.zeros((1, len(values)), np.float32)])
-    return LatentSpace(row, vectors, values, often)
+    v *= freq.idf[:, None]
+    v /= np.sqrt(values)
+    v *= 2.0**14 / max(float(v.max()), -float(v.min()))
+    vectors = np.zeros((len(used) + 1, len(values)), np.float16)
+    for i in range(0, len(used), 1 << 12):
+        vectors[i : min(i + (1 << 12), len(used))] = v[used[i : i + (1 << 12)]]
+    return LatentSpace(row, vectors, values, np.append(seen[used] >= SEEN, False))
 
 
 @dataclass
@@ -444,7 +602,7 @@ def latent_candidates(index: Index, cells: np.ndarray, offsets: np.ndarray, doc:
     a, b = int(offsets[doc]), int(offsets[doc + 1])
     for at in range(a, b, STEP << 12):
         rows = row[cells[at : min(b, at + (STEP << 12) + WINDOW - STEP)]]
-        single = np.add.reduceat(vectors[rows], np.arange(0, len(rows), STEP))
+        single = np.add.reduceat(vectors[rows].astype(np.float32), np.arange(0, len(rows), STEP))
         folded = single[: 1 << 12].copy()
         for k in range(1, span):
             more = single[k : k + len(folded)]
@@ -539,7 +697,6 @@ def find_leaks(
     item_col: str = "item_id",
     item_text_col: str = "text",
     answer_col: str | None = None,
-    sample: int = SAMPLE,
     cosine: float = COSINE,
 ) -> DataFrame:
     """(doc_id, item_id, cosine, lcs_share, answer_found, word_start, text_hash) of every document that holds an item."""
@@ -551,8 +708,11 @@ def find_leaks(
     asked = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"), answer.alias("answer")).filter("text IS NOT NULL")
     upto = F.sum(F.regexp_count("text", F.lit(r"\S+"))).over(Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     asked = scratch.save(asked.withColumn("block", F.floor(upto / BLOCK_WORDS)), "leak-items")
-    freq, found = frequencies(rows), None
-    space = latent_space(rows.select("text"), asked.select("text"), freq, sample)
+    texts = rows.select("text", F.lit(False).alias("item")).unionByName(asked.select("text", F.lit(True).alias("item")))
+    words = scratch.save(packed_words(texts), "leak-words")
+    freq, found = counted(words.filter("NOT item")), None
+    space = latent_space(words, freq)
+    scratch.discard(words)
     give_back()  # the driver's too, which a pipeline shares with other stages
     for (block,) in asked.select("block").distinct().orderBy("block").collect():
         taken = asked.filter(F.col("block") == block).orderBy("item_id", "text").collect()

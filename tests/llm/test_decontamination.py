@@ -191,3 +191,44 @@ def test_rows_are_dropped_by_id_and_text(spark):
     docs = spark.createDataFrame([(1, "clean words", "a"), (1, f"x {item} y", "b"), (None, item, "c"), (None, "also clean", "d"), (2, None, "e")], "doc_id long, text string, cosine string")
     bench = spark.createDataFrame([(7, item)], "item_id long, text string")
     assert sorted(r["cosine"] for r in dc.without_leaks(docs, bench).collect()) == ["a", "d", "e"]
+
+
+def spied_space(spark, monkeypatch, docs, bench):
+    """The latent space that a search goes by, and its frequencies."""
+    seen, build = [], dc.build_index
+    monkeypatch.setattr(dc, "build_index", lambda items, freq, space, cosine: seen.append((space, freq)) or build(items, freq, space, cosine))
+    find(spark, docs, bench)
+    return seen[0]
+
+
+def test_latent_space_counts_every_passage_of_the_corpus(spark, monkeypatch):
+    """Words that occur four times in 800,000 are known to the space, wherever they stand."""
+    rng = random.Random(12)
+    common = [a + b for a in VOCAB[:60] for b in VOCAB[:50]]
+    docs = [rng.choices(common, k=400) for _ in range(2000)]
+    marks = [f"mark{i}x" for i in range(300)]
+    for m in marks:
+        for d in rng.sample(range(2000), 4):
+            docs[d].insert(rng.randint(0, len(docs[d])), m)
+    space, freq = spied_space(spark, monkeypatch, [(i, " ".join(w)) for i, w in enumerate(docs)], [(1, "an item of a few words without a mark")])
+    assert freq.words == sum(map(len, docs))
+    assert (space.row[dc.cells_of(dc.word_hashes(pa.array(marks))[0])] >= 0).all()
+
+
+def test_latent_space_is_that_of_all_distinct_passages(spark, monkeypatch):
+    """Singular values against those of the whole matrix; copies of a text and of a passage count once."""
+    docs, bench, _ = paraphrases()
+    docs = docs[:300] + [(20_000 + i, docs[i % 5][1]) for i in range(100)] + [(30_000 + i, docs[7][1] + " " + docs[8 + i][1]) for i in range(100)]
+    space, freq = spied_space(spark, monkeypatch, docs, bench)
+    passages = set()
+    for _, text in docs + bench:
+        cells = dc.cells_of(dc.word_hashes(pa.array([text]))[0]).tolist()
+        for at in range(0, max(1, len(cells) - 24) if len(cells) > 48 else 1, 24):
+            passages.add(tuple(sorted(cells[at : at + 48])))
+    columns = {c: i for i, c in enumerate(sorted({c for p in passages for c in p}))}
+    a = np.zeros((len(passages), len(columns)))
+    for row, p in zip(a, passages):
+        for c, n in collections.Counter(p).items():
+            row[columns[c]] = n * freq.idf[c]
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    assert np.allclose(space.values[:20], np.linalg.svd(a, compute_uv=False)[:20], rtol=0.02)
