@@ -1,4 +1,5 @@
 import collections
+import random
 
 import corpus_pipeline as cp
 import pyarrow as pa
@@ -89,3 +90,19 @@ def test_rows_are_told_apart_by_id_and_text(spark, sf_dir):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in once.collect()) == sorted([(1, a), (1, b), (0, c), (3, item), (3, "clean words of number three")])
     left = cp.drop_benchmark(spark, docs, sf_dir)
     assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == sorted((i or 0, t) for i, t in rows if t != item)
+
+
+def test_decontamination_learns_from_every_row(spark, sf_dir, monkeypatch):
+    """Words that occur four times in 800,000 are known to the stage's latent space."""
+    rng = random.Random(13)
+    common = [f"{a}{b}" for a in "bdfgklmnpr" for b in range(300)]
+    texts = [rng.choices(common, k=400) for _ in range(2000)]
+    marks = [f"mark{i}x" for i in range(300)]
+    for m in marks:
+        for d in rng.sample(range(2000), 4):
+            texts[d].insert(rng.randint(0, len(texts[d])), m)
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "s", 1) for i, w in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    seen, build = [], dc.build_index
+    monkeypatch.setattr(dc, "build_index", lambda items, freq, space, cosine: seen.append(space) or build(items, freq, space, cosine))
+    assert cp.drop_benchmark(spark, docs, sf_dir).columns == COLUMNS
+    assert (seen[0].row[dc.cells_of(dc.word_hashes(pa.array(marks))[0])] >= 0).all()
