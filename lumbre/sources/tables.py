@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +17,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-#: Where a line stands: files by age and name, then by place.
+#: Where a line stands: files by the age of the write they belong to and by name, then by place.
 SEQ = T.StructType([T.StructField("file_time", T.TimestampType()), T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("line", T.LongType())])
 
 
+def _write_of(file: Column) -> Column:
+    """What Spark calls all files of one write by; empty for other files."""
+    return F.regexp_extract(file, r"/part-\d+-([0-9a-f-]{36})[^/]*$", 1)
+
+
+def _write_times(spark: SparkSession, path: str) -> DataFrame:
+    """(write, write_time) of the writes below ``path``, listed without reading a file. Tasks of
+    one write end in any order, so that its files' own times say nothing about their lines."""
+    files = spark.read.format("binaryFile").load(path).select(_write_of(F.col("path")).alias("write"), "modificationTime")
+    return files.filter("write != ''").groupBy("write").agg(F.max("modificationTime").alias("write_time"))
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected lines) of a JSON Lines table; a missing file is an empty table.
     ``seq`` names a column for the place of each line."""
@@ -31,7 +43,10 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, seq: s
     lines = spark.read.text(path).filter(F.trim("value") != "")
     if seq:
         place = [F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")]
-        lines = lines.withColumn(seq, F.struct(*place))
+        lines = lines.select("value", *place).withColumn("write", _write_of(F.col("file")))
+        # Fewer rows than files, all of which the driver lists for any scan.
+        lines = lines.join(F.broadcast(_write_times(spark, path)), "write", "left")
+        lines = lines.select("value", F.struct(F.coalesce("write_time", "file_time").alias("file_time"), "file", "block", "line").alias(seq))
     read = lines.withColumn("row", F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     broken = F.col("row._corrupt_record").isNotNull()
     return read.filter(~broken).select("row.*", *([seq] if seq else [])).drop("_corrupt_record"), read.filter(broken).select(F.col("value").alias("line"))

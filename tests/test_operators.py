@@ -1,3 +1,5 @@
+import json
+import os
 from datetime import date, timedelta
 
 import pytest
@@ -284,6 +286,19 @@ def test_report_and_downloads(spark):
     assert sorted(r[0] for r in limits.to_download(documents, downloads, k=2).select("idProcessoDocumento").collect()) == ["3", "6"]
 
 
+def test_lines_of_one_write_keep_their_order_whichever_file_ends_last(spark, tmp_path):
+    path = f"file://{tmp_path}/failures.jsonl"
+    for a, b in (("first", "second"), ("third", "fourth")):
+        made = [("detail", "k", "t", x, None, 1, None, "{}") for x in (a, b)]
+        sinks.append_json(spark.createDataFrame(made, schemas.FAILURE).repartitionByRange(2, F.expr(f"error = '{b}'")), path)
+        for part in (tmp_path / "failures.jsonl").glob("part-*.json"):
+            late = {"first": 4, "second": 0, "third": 9, "fourth": 5}[json.loads(part.read_text().splitlines()[0])["error"]]
+            os.utime(part, (1_700_000_000 + late, 1_700_000_000 + late))
+        (row,) = tables.read_failures(spark, path).collect()
+        assert row["error"] == b
+    assert len(list((tmp_path / "failures.jsonl").glob("part-*.json"))) == 4
+
+
 def test_tables_that_are_read_and_rewritten(spark, tmp_path):
     path = f"file://{tmp_path}/failures.jsonl"
     made = [("detail", "detail:1", "t", "old", None, 1, None, "{}"), ("detail", "detail:1", "t", "new", 500, 2, None, "{}"), ("pdf", "pdf:1", "t", "x", None, 1, None, "{}")]
