@@ -59,7 +59,10 @@ COSINE, SYNONYM, SEEN = 0.4, 0.8, 8
 SURE, LIKELY, ANSWER = 0.75, 0.5, 0.8
 SHORT = 5
 BLOCK_WORDS = 1 << 21
-CHUNK = 1 << 18
+#: Rows of what tasks add up, write and turn at a time.
+CHUNK = 1 << 12
+#: Sums of cells that are made at a time.
+RUNS = 1 << 10
 #: Words of a task of the SVD, whose sums take CELLS x (RANK + EXTRA) floats however few the words are; blocks at a time.
 TASK_WORDS, PIECE = 1 << 26, 1 << 13
 #: Times that a word occurs in passages: above FEW it has a vector, from SEEN on synonyms.
@@ -117,18 +120,18 @@ def unpacked(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return cells.view("<i4").ravel(), (at - at[0]) // 3
 
 
-def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], list[np.ndarray]], *sizes: int) -> list[np.ndarray]:
-    """The sums of the float arrays of ``sizes`` that ``partial`` makes of each partition of
-    ``rows``. Arrays are cut into chunks, which are added up on the executors.
+def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], list[np.ndarray]], features: int) -> DataFrame:
+    """(chunk, part) of the sums of the float arrays, of ``features`` rows each, that ``partial``
+    makes of each partition of ``rows``, side by side: CHUNK rows of them a row. They are added
+    up on the executors and written, as the driver has no need of all of them at once.
     """
-    firsts = np.cumsum([0, *(-(-n // CHUNK) for n in sizes)])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for first, made in zip(firsts.tolist(), partial(batches)):
-            flat = np.ascontiguousarray(made, np.float32).ravel()
-            for i in range(0, len(flat), CHUNK):
-                if flat[i : i + CHUNK].any():
-                    yield pa.RecordBatch.from_arrays([pa.array([first + i // CHUNK], pa.int32()), pa.array([flat[i : i + CHUNK].tobytes()], pa.binary())], names=["chunk", "part"])
+        made = [x.reshape(features, -1) for x in partial(batches)]
+        for i in range(0, features, CHUNK):
+            part = np.hstack([x[i : i + CHUNK] for x in made]).astype(np.float32)
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // CHUNK], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -143,13 +146,38 @@ def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], list[n
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "part"])
 
     kind = "chunk int, part binary"
-    out = [np.zeros(n, np.float32) for n in sizes]
-    for r in rows.mapInArrow(emit, kind).repartition("chunk").mapInArrow(add, kind).toLocalIterator():
-        k = int(np.searchsorted(firsts, r["chunk"], side="right")) - 1
-        part = np.frombuffer(r["part"], np.float32)
-        at = (r["chunk"] - int(firsts[k])) * CHUNK
-        out[k][at : at + len(part)] = part
-    return out
+    return scratch.save(rows.mapInArrow(emit, kind).repartition("chunk").mapInArrow(add, kind), "leak-sums")
+
+
+def of_chunks(sums: DataFrame, columns: int, make: Callable[[int, np.ndarray], list[np.ndarray]], whole: bool = False) -> Iterator[list[bytes]]:
+    """What ``make`` makes of (first row, rows) of each chunk of ``columns`` columns, or the sums
+    of it over a task's chunks, as bytes, one chunk or task after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(made: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([[x.tobytes() for x in made]], pa.list_(pa.binary()))], names=["made"])
+
+        total = None
+        for batch in batches:
+            for chunk, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                made = make(chunk * CHUNK, np.frombuffer(part.as_buffer(), np.float32).reshape(-1, columns))
+                if not whole:
+                    yield row([np.array([chunk * CHUNK]), *made])
+                else:
+                    total = made if total is None else [x + y for x, y in zip(total, made, strict=True)]
+        if total is not None:
+            yield row(total)
+
+    return (r["made"] for r in sums.mapInArrow(run, "made array<binary>").toLocalIterator())
+
+
+def gram(sums: DataFrame, columns: int, make: Callable[[int, np.ndarray], list[np.ndarray]], *shapes: tuple[int, int]) -> list[np.ndarray]:
+    """The sums of the matrices of double precision that ``make`` makes of each chunk."""
+    total = [np.zeros(shape) for shape in shapes]
+    for made in of_chunks(sums, columns, make, whole=True):
+        for x, raw in zip(total, made, strict=True):
+            x += np.frombuffer(raw, np.float64).reshape(x.shape)
+    return total
 
 
 @dataclass
@@ -258,15 +286,17 @@ def scatter_add(total: np.ndarray, cells: np.ndarray, block: np.ndarray, values:
     size = np.diff(np.append(starts, len(cells)))
     order = np.argsort(-size, kind="stable")
     starts, size = starts[order], size[order]
-    sums = values[block[starts]]
-    for k in range(1, 16):
-        n = int(np.searchsorted(-size, -k, side="left"))  # runs longer than k
-        if not n:
-            break
-        sums[:n] += values[block[starts[:n] + k]]
-    for i in range(int(np.searchsorted(-size, -16, side="left"))):
-        sums[i] += values[block[starts[i] + 16 : starts[i] + size[i]]].sum(axis=0)
-    total[cells[starts]] += sums
+    for at in range(0, len(starts), RUNS):  # few enough at a time for a core's cache
+        first, n = starts[at : at + RUNS], size[at : at + RUNS]
+        sums = values.take(block[first], axis=0)
+        for k in range(1, 16):
+            longer = int(np.searchsorted(-n, -k, side="left"))
+            if not longer:
+                break
+            sums[:longer] += values.take(block[first[:longer] + k], axis=0)
+        for i in range(int(np.searchsorted(-n, -16, side="left"))):
+            sums[i] += values.take(block[first[i] + 16 : first[i] + n[i]], axis=0).sum(axis=0)
+        total[cells[first]] += sums
 
 
 def listed_rows(batches: Iterator[pa.RecordBatch], basis: np.ndarray) -> list[np.ndarray]:
@@ -320,8 +350,8 @@ def passage_rows(idf: np.ndarray):
                 norm = np.einsum("ij,ij->i", (2 * run + 1).astype(np.float32), square[both])  # sum of (n idf)^2
                 weight = keep[at : at + PIECE] / np.maximum(norm, 1e-12)
                 folded = np.zeros((len(part) + 1, width), np.float32)
-                for i in range(0, len(part), 512):
-                    folded[i : min(i + 512, len(part))] = table.take(part[i : i + 512].ravel(), axis=0).reshape(-1, PASSAGE_STEP, width).sum(axis=1)
+                for i in range(0, len(part), 64):
+                    folded[i : min(i + 64, len(part))] = table.take(part[i : i + 64].ravel(), axis=0).reshape(-1, PASSAGE_STEP, width).sum(axis=1)
                 y = (folded[a] + folded[b]) * weight[:, None]
                 back, times = np.zeros((len(part) + 1, width), np.float32), np.zeros(len(part) + 1)
                 back[a] = y
@@ -337,17 +367,16 @@ def passage_rows(idf: np.ndarray):
     return product
 
 
-def turned(x: np.ndarray, turn: np.ndarray) -> np.ndarray:
-    """``x @ turn``, for a square or narrower ``turn``, in the place of ``x``."""
-    out = x.reshape(-1)[: len(x) * turn.shape[1]].reshape(len(x), turn.shape[1])
-    for i in range(0, len(x), 1 << 12):  # what is written lies at or before what is read
-        out[i : i + (1 << 12)] = x[i : i + (1 << 12)].astype(np.float64) @ turn
-    return out
+def turned(x: np.ndarray, *turns: np.ndarray) -> np.ndarray:
+    """``x`` times one turn after the other, in single precision each time."""
+    for turn in turns:
+        x = (x.astype(np.float64) @ turn).astype(np.float32)
+    return x
 
 
 def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """``x.T @ y`` in double precision, some rows at a time."""
-    return sum(x[i : i + (1 << 12)].astype(np.float64).T @ y[i : i + (1 << 12)].astype(np.float64) for i in range(0, max(1, len(x)), 1 << 12))
+    """``x.T @ y`` in double precision."""
+    return x.astype(np.float64).T @ y.astype(np.float64)
 
 
 def roots(gram: np.ndarray, least: float) -> np.ndarray:
@@ -359,40 +388,53 @@ def roots(gram: np.ndarray, least: float) -> np.ndarray:
 
 def randomised_svd(rows: DataFrame, features: int, rank: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(right singular vectors (features x rank), singular values) of the sparse rows (cells array, weights array)."""
-    return latent_vectors(rows, features, rank, listed_rows, seed)[:2]
-
-
-def latent_vectors(rows: DataFrame, features: int, rank: int, product, seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(right singular vectors, singular values, occurrences of each feature) of the rows A that
-    ``product`` takes A'A times a basis of: once for a Gaussian basis, once for what that gives.
-    The driver holds one array of features x rank and a half one at a time.
+    z, turn, values, _ = latent_vectors(rows, features, rank, listed_rows, seed)
+    v = np.zeros((features, len(values)), np.float32)
+    for at, part in of_chunks(z, len(turn), lambda at, x: [turned(x, turn)]):
+        at, part = int(np.frombuffer(at, np.int64)[0]), np.frombuffer(part, np.float32).reshape(-1, len(values))
+        v[at : at + len(part)] = part
+    return v, values
+
+
+def latent_vectors(rows: DataFrame, features: int, rank: int, product, seed: int = 3) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """(chunks of an array, what turns it into the right singular vectors, singular values,
+    occurrences of each feature) of the rows A that ``product`` takes A'A times a basis of: once
+    for a Gaussian basis, once for what that gives. The arrays stay with the executors; the
+    driver holds products of their columns and, to send it out, one in half precision.
     """
     width = min(features, rank + EXTRA)
 
     def start(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
         return product(batches, np.random.default_rng(seed).standard_normal((features, width), np.float32))
 
-    basis, seen = summed(rows, start, features * width, features)
-    basis = basis.reshape(features, width)
+    sums, turns = summed(rows, start, features), []
     for _ in range(2):  # the second time for what rounding left
-        basis = turned(basis, roots(products(basis, basis), 1e-12))
+        done = tuple(turns)
+        (square,) = gram(sums, width + 1, lambda _, x: [products(y := turned(x[:, :-1], *done), y)], (turns[-1].shape[1],) * 2 if turns else (width, width))
+        turns.append(roots(square, 1e-12))
     # Any basis near this one will do, but both uses of it must be of the same.
-    basis *= np.float32(np.sqrt(features))
-    half = basis.astype(np.float16)
-    del basis
+    done, unit = tuple(turns), np.float32(np.sqrt(features))
+    half, seen = np.zeros((features, turns[-1].shape[1]), np.float16), np.zeros(features, np.float32)
+    for at, part, often in of_chunks(sums, width + 1, lambda _, x: [(turned(x[:, :-1], *done) * unit).astype(np.float16), x[:, -1]]):
+        at, often = int(np.frombuffer(at, np.int64)[0]), np.frombuffer(often, np.float32)
+        half[at : at + len(often)] = np.frombuffer(part, np.float16).reshape(len(often), -1)
+        seen[at : at + len(often)] = often
+    scratch.discard(sums)
+    kept = half.shape[1]
     shared = rows.sparkSession.sparkContext.broadcast(half)
+    del half
 
     def again(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
         return product(batches, shared.value.astype(np.float32))[:1]
 
-    (z,) = summed(rows, again, half.size)
+    z = summed(rows, again, features)
+    both, square = gram(z, kept, lambda at, x: [products(shared.value[at : at + len(x)], x), products(x, x)], (kept, kept), (kept, kept))
     shared.destroy()
-    z = z.reshape(half.shape)
-    root = roots(products(half, z), 1e-6)  # A'A is near z (half' z)^-1 z'
-    values, turn = np.linalg.eigh(root.T @ products(z, z) @ root)
+    root = roots(both, 1e-6)  # A'A is near z (half' z)^-1 z'
+    values, turn = np.linalg.eigh(root.T @ square @ root)
     best = np.argsort(-values)[: min(rank, width)]
     best = best[values[best] > 1e-6 * max(values.max(initial=0), 1e-30)]
-    return turned(z, root @ turn[:, best] / np.sqrt(values[best])), np.sqrt(values[best]), seen
+    return z, root @ turn[:, best] / np.sqrt(values[best]), np.sqrt(values[best]), seen
 
 
 @dataclass
@@ -423,19 +465,25 @@ def latent_space(words: DataFrame, freq: Frequencies, rank: int = RANK) -> Laten
         own = F.broadcast(own)
     rows = words.join(own, "row", "left").select("words", "kept")
     # Each task sends sums of all cells, so that tasks are as many as their words make worth it.
-    v, values, seen = latent_vectors(rows.coalesce(1 + freq.words // TASK_WORDS), CELLS, rank, passage_rows(freq.idf))
+    idf = freq.idf
+    z, turn, values, seen = latent_vectors(rows.coalesce(1 + freq.words // TASK_WORDS), CELLS, rank, passage_rows(idf))
     used = np.flatnonzero(seen > FEW) if len(values) else np.zeros(0, np.int64)
     row = np.full(CELLS, -1, np.int32)
     row[used] = np.arange(len(used))
     if not len(used):
         return LatentSpace(row, np.zeros((1, 1), np.float32), np.ones(1, np.float32), np.zeros(1, bool))
-    values = values.astype(np.float32)
-    v *= freq.idf[:, None]
-    v /= np.sqrt(values)
-    v *= 2.0**14 / max(float(v.max()), -float(v.min()))
+    columns, values = len(turn), values.astype(np.float32)
+
+    def weighted(at: int, x: np.ndarray) -> np.ndarray:
+        return turned(x, turn) * idf[at : at + len(x), None] / np.sqrt(values)
+
+    largest = max(float(np.frombuffer(x, np.float32)[0]) for _, x in of_chunks(z, columns, lambda at, x: [np.abs(weighted(at, x)).max(keepdims=True)]))
+    unit, kept = np.float32(2.0**14 / largest), row >= 0
     vectors = np.zeros((len(used) + 1, len(values)), np.float16)
-    for i in range(0, len(used), 1 << 12):
-        vectors[i : min(i + (1 << 12), len(used))] = v[used[i : i + (1 << 12)]]
+    for at, part in of_chunks(z, columns, lambda at, x: [(weighted(at, x) * unit)[kept[at : at + len(x)]].astype(np.float16)]):
+        part, first = np.frombuffer(part, np.float16).reshape(-1, len(values)), int(np.searchsorted(used, np.frombuffer(at, np.int64)[0]))
+        vectors[first : first + len(part)] = part
+    scratch.discard(z)
     return LatentSpace(row, vectors, values, np.append(seen[used] >= SEEN, False))
 
 

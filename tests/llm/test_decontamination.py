@@ -1,5 +1,6 @@
 import collections
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -232,3 +233,18 @@ def test_latent_space_is_that_of_all_distinct_passages(spark, monkeypatch):
             row[columns[c]] = n * freq.idf[c]
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     assert np.allclose(space.values[:20], np.linalg.svd(a, compute_uv=False)[:20], rtol=0.02)
+
+
+def test_arrays_of_the_latent_space_stay_off_the_driver(spark):
+    """The driver holds one array of all cells in half precision, not one or two in single."""
+    docs, _, _ = paraphrases()
+    texts = spark.createDataFrame(docs[:300], "doc_id long, text string")
+    words = dc.packed_words(texts.select("text")).localCheckpoint()
+    freq = dc.counted(words)
+    tracemalloc.start()
+    try:
+        space = dc.latent_space(words, freq)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (space.row >= 0).any() and most < 3 * dc.CELLS * (dc.RANK + dc.EXTRA)
