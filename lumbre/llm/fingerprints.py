@@ -49,7 +49,9 @@ def _rank(word: Column, log_weight: Column, k: int) -> Column:
     r = -F.ln(_part(one, 0, 21) * _part(one, 21, 21))
     beta = _part(one, 42, 22)
     c = -F.ln(_part(two, 0, 32) * _part(two, 32, 32))
-    return F.ln(c) - r * (F.floor(log_weight / r + beta) - beta + 1)
+    # t is 0 for a word that stands once, as most do: the same number without a division.
+    above = F.when(log_weight == 0, 1 - beta).otherwise(F.floor(log_weight / r + beta) - beta + 1)
+    return F.ln(c) - r * above
 
 
 def weighted_words(texts: DataFrame, keys: list[str], text_cols: list[str]) -> DataFrame:

@@ -93,3 +93,12 @@ def test_accuracy_of_the_query(spark, sf_dir):
     for key, _, _, e, following, text in brute(docs):
         off += [got[key]["near_edited"] - jaccard(text, e), got[key]["near_next"] - jaccard(text, following)]
     assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.075
+
+
+def test_words_that_stand_once_rank_as_by_the_whole_formula(spark):
+    words = spark.range(2000, numPartitions=1).select(F.xxhash64("id").alias("w"), F.when(F.col("id") % 4 > 0, F.ln((F.col("id") % 4).cast("double"))).alias("x"))
+    one, two = F.xxhash64("w", F.lit(10)), F.xxhash64("w", F.lit(11))
+    r, beta = -F.ln(fp._part(one, 0, 21) * fp._part(one, 21, 21)), fp._part(one, 42, 22)
+    whole = F.ln(-F.ln(fp._part(two, 0, 32) * fp._part(two, 32, 32))) - r * (F.floor(F.col("x") / r + beta) - beta + 1)
+    rows = words.select(fp._rank(F.col("w"), F.col("x"), 5).alias("got"), whole.alias("want"), "x").collect()
+    assert all(r["got"] == r["want"] and (r["got"] is None) == (r["x"] is None) for r in rows)
