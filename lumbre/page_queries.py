@@ -74,7 +74,7 @@ def parse_cases(spark, sf_dir):
         _table("processoPartesPoloAtivoResumidoList", who), _table("processoParteOutrosInteressadosResumidoList", other),
         _table("processoEvento", _cat("<tr><td>03/09/2023 21:01:15 - ", moved, "</td></tr>")), _table("processoDocumentoGridTab", link), "</body></html>",
     )
-    pages = _t(spark, sf_dir, "customer").select(_cat("k", c).alias("key"), F.lit(BASE).alias("url"), html.alias("html"))
+    pages = parse.spread(_t(spark, sf_dir, "customer")).select(_cat("k", c).alias("key"), F.lit(BASE).alias("url"), html.alias("html"))
     x = tables.case_pages(pages).select("case.*")
     p, m, d = (F.get(F.col(a), F.lit(0)) for a in ("partes", "movimentacoes", "documentos"))
     return x.select(
@@ -206,7 +206,7 @@ def envelopes(spark, sf_dir):
     state = F.when(k % 3 == 0, _cat('<input name="javax.faces.ViewState" value="j', F.col("p_size"), '">')).otherwise("")
     page = F.when(k % 3 == 0, '<div id="a:processoEvento:0"></div>').when(k % 3 == 1, '<table id="a:processoDocumentoGridTab"></table>').otherwise("")
     html = _cat("<html>", marks, '<meta name="Ajax-Update-Ids" content="', F.col("p_type"), ", ,", F.col("p_brand"), ",", F.col("p_type"), '">', state, page, "</html>")
-    made = _t(spark, sf_dir, "part").select("p_partkey", html.alias("html"))
+    made = parse.spread(_t(spark, sf_dir, "part")).select("p_partkey", html.alias("html"))
     read = parse.parsed(made, parse.envelope, ["html"], schemas.ENVELOPE, "e")
     read = parse.parsed(read.select("*", "e.update_ids"), parse.panel_kind, ["update_ids", "html"], T.StringType(), "kind")
     return read.select("p_partkey", F.col("e.is_ajax").alias("is_ajax"), F.array_join("update_ids", "|").alias("update_ids"), F.col("e.view_state").alias("view_state"), "kind")
@@ -224,7 +224,7 @@ def pagers(spark, sf_dir):
     dotted = F.regexp_replace((k * 1000).cast("string"), r"(\d)(?=(\d{3})+$)", "$1.")
     good = _cat('<input name="javax.faces.ViewState" value="j">', dotted, " resultados encontrados", _slider("a", 2 + k % 9), F.when(k % 3 == 0, "7 resultados encontrados").otherwise(""), _slider("b", F.lit(3), "3"), "9 resultados encontrados")
     html = F.when(k % 4 != 0, good).when(k % 8 == 0, '<script>new Richfaces.Slider("x",{})</script>').otherwise("<p>")
-    made = _t(spark, sf_dir, "supplier").select("s_suppkey", html.alias("html"))
+    made = parse.spread(_t(spark, sf_dir, "supplier")).select("s_suppkey", html.alias("html"))
     read = parse.parsed(parse.parsed(made, parse.panel_pagers, ["html"], T.ArrayType(schemas.PAGER), "p"), parse.has_slider, ["html"], T.BooleanType(), "slider")
     return read.select("s_suppkey", F.explode_outer("p").alias("p"), "slider").select("s_suppkey", F.col("p.formId").alias("form"), *[F.coalesce(F.col(f"p.{a}"), F.lit(-1)).alias(b) for a, b in (("lastPage", "last"), ("currentPage", "now"), ("reportedTotal", "total"))], "slider")
 

@@ -88,7 +88,7 @@ def read_captured(spark: SparkSession, path: str) -> DataFrame:
 def search_results(captured: DataFrame, base: str) -> DataFrame:
     """Captured searches with ``result`` and ``outcome``: ok, expired, refused or failed."""
     good = captured.withColumn("_page", F.when(F.col("status") == 200, F.col("html"))).withColumn("_base", F.lit(base))
-    found = parse.parsed(good, parse.search_result, ["_page", "_base"], schemas.RESULT, "result").drop("_page", "_base")
+    found = parse.parsed(good, parse.search_result, ["_page", "_base"], schemas.RESULT, "result", without=["_page", "_base"])
     outcome = (
         F.when(F.col("result").isNull(), "failed")
         .when(F.col("result.message").isNotNull() & (F.size("result.rows") == 0), "refused")
@@ -99,8 +99,8 @@ def search_results(captured: DataFrame, base: str) -> DataFrame:
 
 
 def case_pages(captured: DataFrame) -> DataFrame:
-    """Captured case pages (key, url, html) as nested cases."""
-    return parse.parsed(captured, parse.case_page, ["html", "key", "url"], schemas.CASE, "case").select("key", "html", "case")
+    """(key, case): captured case pages (key, url, html) as nested cases."""
+    return parse.parsed(captured.select("key", "html", "url"), parse.case_page, ["html", "key", "url"], schemas.CASE, "case", without=["html", "url"])
 
 
 def remaining(pagers: DataFrame, captured: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def remaining(pagers: DataFrame, captured: DataFrame) -> DataFrame:
     by = ["ca", "page", *(["form"] if "form" in captured.columns else [])]
     answers = captured.select(F.col("key").alias("ca"), "html", *by[1:])
     joined = remaining_pages(pagers).join(answers, by, "left")
-    found = parse.parsed(joined, parse.extra_page, ["html", "url"], parse.EXTRA_PAGE, "extra", "error").drop("html")
+    found = parse.parsed(joined, parse.extra_page, ["html", "url"], parse.EXTRA_PAGE, "extra", "error", without=["html"])
     return found.withColumn("read", F.coalesce(F.col("extra.read"), F.lit(False)))
 
 
