@@ -187,7 +187,7 @@ def ingested_cases(spark, sf_dir):
     there, out, mark = (scratch.new_path(spark, f"stream-{x}") for x in ("in", "out", "mark"))
     captured = scratch.save(_supplier_captured(spark, sf_dir), "stream-captured")
     for wanted in ("form IS NOT NULL", "form IS NULL"):
-        captured.filter(wanted).coalesce(4).write.mode("append").parquet(there)
+        captured.filter(wanted).write.mode("append").parquet(there)
         query = ingest.ingest(spark, there, out, mark)
         query.awaitTermination()
         if query.exception():

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lumbre import schemas, scratch
 from lumbre.operators.dedup import first_wins
-from lumbre.operators.parse import EXTRA_PAGE, case_page, extra_page, has_slider, panel_pagers, parsed
+from lumbre.operators.parse import EXTRA_PAGE, case_page, extra_page, has_slider, panel_pagers, parsed, spread
 from lumbre.plans.panels import assemble_cases
 from lumbre.sources.sinks import document_rows
 from lumbre.sources.tables import captured_text
@@ -32,9 +32,12 @@ def _whole_case(html: str, ca: str, url: str) -> dict:
     return {**case_page(html, ca, url), "pagers": panel_pagers(html), "has_slider": has_slider(html)}
 
 
-def split_batch(captured: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def split_batch(captured: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda rows, _: rows) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cases as parsed, later pages, dead letters) of captured responses (schema CAPTURED).
 
+    ``keep(rows, name)`` gives what was parsed as the three read it: each of them runs the
+    parsers anew unless it is written first.
+
     A response other than 200, one without a body, and one on which a parser fails are dead
     letters: ``detail:`` and the key, for a later page with form and page besides.
     """
@@ -43,9 +46,9 @@ def split_batch(captured: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     bad = captured.filter(~F.coalesce(arrived, F.lit(False)))
     url = F.coalesce("url", F.lit(""))
     pages = good.filter("form IS NULL").select("key", "page", "form", "html", url.alias("url"))
-    cases = parsed(pages, _whole_case, ["html", "key", "url"], RAW_CASE, "case", "error")
+    cases = keep(parsed(spread(pages), _whole_case, ["html", "key", "url"], RAW_CASE, "case", "error", without=["html", "url"]), "ingest-cases")
     later = good.filter("form IS NOT NULL").select("key", "page", "form", "html", url.alias("url"))
-    extras = parsed(later, extra_page, ["html", "url"], EXTRA_PAGE, "extra", "error")
+    extras = keep(parsed(spread(later), extra_page, ["html", "url"], EXTRA_PAGE, "extra", "error", without=["html", "url"]), "ingest-pages")
     name = F.concat_ws(":", F.lit("detail"), "key", "form", F.when(F.col("form").isNotNull(), F.col("page").cast("string")))
     why = F.when(F.col("status").isNull(), "no status").when(F.col("status") != 200, F.concat(F.lit("status "), F.col("status").cast("string"))).otherwise("no body")
     letter = lambda rows, error: rows.select(F.lit("detail").alias("kind"), name.alias("key"), error.alias("error"), F.lit(1).alias("attempts"))
@@ -55,9 +58,19 @@ def split_batch(captured: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _batch_writer(out: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, number: int) -> None:
-        cases, extras, failures = split_batch(batch)
-        for rows, name in ((cases, "cases"), (extras, "pages"), (failures, "failures")):
-            rows.write.mode("overwrite").json(f"{out}/{name}/batch={number}")
+        held = []
+
+        def keep(rows: DataFrame, name: str) -> DataFrame:
+            held.append(scratch.save(rows, name))
+            return held[-1]
+
+        try:
+            cases, extras, failures = split_batch(batch, keep)
+            for rows, name in ((cases, "cases"), (extras, "pages"), (failures, "failures")):
+                rows.write.mode("overwrite").json(f"{out}/{name}/batch={number}")
+        finally:
+            for rows in held:
+                scratch.discard(rows)
 
     return write
 
